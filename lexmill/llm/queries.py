@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import packing, token_files
+from lexmill.llm import langid, mixing, packing, quality_rules, secret_scan, token_files
 from lexmill.llm._common import table
 from lexmill.llm.tokens import public_file
 
@@ -17,5 +17,21 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.ids_digest(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op7_token_files)}
-ORACLE: dict[str, str] = {}
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_digest(table(spark, sf_dir, "documents"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_digest(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets_digest(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_best_fit_packing, op5_source_mixing, op7_token_files, op8_secret_scan, op9_quality_rules)}
+ORACLE: dict[str, str] = {"op5_source_mixing": mixing.ORACLE, "op8_secret_scan": secret_scan.ORACLE}
