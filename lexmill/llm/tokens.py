@@ -1,10 +1,10 @@
 """Token ids of whole texts by a public tokenizer file, with a bounded cache of words.
 
 Both vocabularies split a text before merging and never merge across the split, so each
-part may be encoded apart. Parts recur, so each worker keeps the ids of those it has seen
-and the tokenizers library encodes the rest, many at a time. Texts of Latin-1 characters
-are split by the files' own patterns restated for Latin-1; others are cut where a run of
-non-blank characters ends; texts with unusual white space are encoded whole.
+part may be encoded apart. Texts of ASCII and Latin letters are cut, as one buffer of bytes,
+where the class of character changes; equal parts are numbered by Arrow, each distinct part
+is looked up in the worker's cache or encoded by the tokenizers library, and the ids are
+gathered in numpy. Other texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -13,19 +13,18 @@ import os
 import re
 from array import array
 
-#: Entries of each of a worker's two caches, the longest part kept, and characters encoded at a time.
-CACHE_WORDS, CACHE_CHARS, GROUP_CHARS = 350_000, 64, 1_000_000
-#: Latin-1 letters and numbers, as in the Unicode classes L and N.
-LETTER, NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
-SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
-#: Where a text may be cut: (of Latin-1 texts, of others, whether case is dropped) by the file's pre-tokenizer.
-CUTS = {
-    "ByteLevel": (re.compile(rf"{SHORT}| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^\s{LETTER}{NUMBER}]+|\s+(?!\S)|\s+"), re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+"), False),
-    "Sequence": (re.compile(rf"{SHORT}|[{LETTER}]+|[{NUMBER}]|[^\s{LETTER}{NUMBER}]+"), re.compile(r"[^ \t-\r]+"), True),
-}
-#: White space beyond blank and U+0009 to U+000D, and characters beyond Latin-1.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
-WIDE = re.compile("[^\x00-\xff]")
+import numpy as np
+
+#: Entries of each of a worker's two caches, the longest part kept, and characters cut at a time.
+CACHE_WORDS, CACHE_CHARS, GROUP_CHARS = 400_000, 64, 6_000_000
+#: Characters beyond ASCII without U+001C to U+001F and the Latin-1 letters.
+OTHER = re.compile("[^\x00-\x1b -~\xc0-\xd6\xd8-\xf6\xf8-\xff]")
+#: Classes of bytes: blank 0, letter 1 (with all bytes of Latin-1 letters), digit 2, other 3, apostrophe 4.
+CLASS = np.full(256, 3, np.uint8)
+CLASS[[32, *range(9, 14)]] = 0
+CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+CLASS[range(48, 58)] = 2
+CLASS[39] = 4
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -37,41 +36,72 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.narrow, self.cut, self.lower = CUTS[type(self.tokenizer.pre_tokenizer).__name__]
+        self.lower = "Lowercase" in str(self.tokenizer.normalizer)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def parts(self, text: str) -> list[str]:
-        if ODD_SPACE.search(text):
-            return [text]
-        if WIDE.search(text):
-            return self.cut.findall(text)
-        return self.narrow.findall(text.lower() if self.lower else text)
-
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
-        out: list[bytes] = []
-        group: list[list[str]] = []
+        out = [b""] * len(texts)
+        group: list[int] = []
         size = 0
-        for text in texts:
-            group.append(self.parts(text) if text else [])
-            size += len(text or "")
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if OTHER.search(text):
+                out[i] = self.whole([text])[0]
+                continue
+            group.append(i)
+            size += len(text)
             if size > GROUP_CHARS:
-                out += self.joined(group)
+                self.fill(texts, group, out)
                 group, size = [], 0
-        return out + self.joined(group)
+        if group:
+            self.fill(texts, group, out)
+        return out
 
-    def joined(self, group: list[list[str]]) -> list[bytes]:
+    def fill(self, texts: list[str | None], group: list[int], out: list[bytes]) -> None:
+        import pyarrow as pa
+
+        each = [texts[i].encode() for i in group]
+        data = b"".join(each)
+        if self.lower:
+            data = data.lower()
+        first = np.cumsum([0, *map(len, each)])
+        kind = CLASS[np.frombuffer(data, np.uint8)]
+        cut = np.zeros(len(data), bool)
+        before, now = kind[:-1], kind[1:]
+        np.logical_and((now != before) & (before != 0), (now == 0) | ((now != 4) & (before != 4)), out=cut[1:])
+        cut[first[:-1]] = True
+        start = np.flatnonzero(cut)
+        offsets = np.append(start, len(data)).astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        index = parts.indices.to_numpy()
+        values = self.values(parts.dictionary.to_pylist())
+        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat, base = np.frombuffer(b"".join(values), "<u4"), np.cumsum(size) - size
+        n = size[index]
+        upto = np.cumsum(n)
+        ids = flat[np.repeat(base[index] - upto + n, n) + np.arange(int(upto[-1]))].tobytes()
+        edge = (4 * np.append(0, upto)[np.append(np.searchsorted(start, first[:-1]), len(start))]).tolist()
+        for i, a, b in zip(group, edge, edge[1:]):
+            out[i] = ids[a:b]
+
+    def values(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct parts, from the caches as far as they are known."""
         known, older = self.known, self.older
-        new = set().union(*group).difference(known) if group else set()
-        again = new & older.keys()
-        known.update((w, older[w]) for w in again)
-        fresh = list(new - again)
+        fresh = []
+        for w in words:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    fresh.append(w)
         known.update(zip(fresh, self.whole(fresh)))
-        out = [b"".join([known[w] for w in parts]) for parts in group]
+        out = [known[w] for w in words]
         for w in fresh:
             if len(w) > CACHE_CHARS:
                 del known[w]
@@ -87,6 +117,11 @@ def encoder(file: str) -> Encoder:
     return _encoders[file]
 
 
+def forget() -> None:
+    """Drop this worker's tokenizers and caches, for later work in the same process."""
+    _encoders.clear()
+
+
 def public_file(name: str) -> str:
     import public_tokenizers
 
