@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm._common import work_dir, written
-from lexmill.llm.tokens import encoder
+from lexmill.llm.tokens import encoder, forget
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, part int, nth bigint"
 
@@ -158,6 +158,7 @@ def place(pieces: DataFrame, max_len: int = 4096) -> DataFrame:
     def at(length, rank):  # noqa: ANN001
         import pandas as pd
 
+        forget()
         runs = plan.value
         key = runs[:, 0] << 44 | runs[:, 1]
         i = np.searchsorted(key, length.to_numpy() << 44 | rank.to_numpy(), side="right") - 1

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm._common import work_dir, written
-from lexmill.llm.tokens import encoder
+from lexmill.llm.tokens import encoder, forget
 
 MAX_BITS, BLOCK, SEGMENT_IDS = 18, 512, 1 << 20
 
@@ -146,6 +146,7 @@ def id_counts(table: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        forget()
         total = np.zeros(0, np.int64)
         for batch in batches:
             width = batch.column(1)[0].as_py() if batch.num_rows else 2
@@ -178,31 +179,28 @@ def write_ids(docs: DataFrame, file: str, end_id: int = 0, folder: str | None =
     book = written(book.coalesce(1), folder, "book")
     shared = spark.sparkContext.broadcast(read_book(book))
 
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    share = [i / parts for i in range(1, parts)] or [0.5]
+    bounds = table.agg(F.percentile_approx("doc_id", share, 10000).alias("b")).first().b or []
+    bounds = spark.sparkContext.broadcast(np.array(sorted(set(bounds)), np.int64))  # one bound a partition
+
     def code(batches):
         import pyarrow as pa
 
+        forget()
         codes, lengths = shared.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 own = batch.slice(lo, 500)
                 ids = [np.frombuffer(x, f"<u{w}") for x, w in zip(own.column(1).to_pylist(), own.column(2).to_pylist())]
                 got = encoded(ids, codes, lengths)
-                yield pa.RecordBatch.from_arrays([own.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<i8").tobytes() for _, x in got], pa.binary()), pa.array([x for x, _ in got], pa.binary())], names=["doc_id", "n", "at", "payload"])
-
-    coded = table.mapInArrow(code, "doc_id bigint, n bigint, at binary, payload binary")
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    share = [i / parts for i in range(1, parts)] or [0.5]
-    bounds = table.agg(F.percentile_approx("doc_id", share, 10000).alias("b")).first().b or []
-    bounds = spark.sparkContext.broadcast(np.array(sorted(set(bounds)), np.int64))  # one bound a partition
-
-    @F.pandas_udf("int")
-    def part_of(doc_id):  # noqa: ANN001
-        import pandas as pd
-
-        part = np.searchsorted(bounds.value, doc_id.fillna(0).to_numpy(np.int64), side="left") + 1
-        return pd.Series(np.where(doc_id.isna(), 0, part).astype(np.int32))
+                doc_id = own.column(0)
+                part = np.searchsorted(bounds.value, doc_id.fill_null(0).to_numpy(), side="left") + 1
+                part[np.asarray(doc_id.is_null())] = 0
+                yield pa.RecordBatch.from_arrays([doc_id, pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<i8").tobytes() for _, x in got], pa.binary()), pa.array([x for x, _ in got], pa.binary()), pa.array(part, pa.int32())], names=["doc_id", "n", "at", "payload", "part"])
 
-    coded = coded.withColumn("part", part_of("doc_id")).repartitionById(len(bounds.value) + 2, "part").sortWithinPartitions("part", "doc_id")
+    coded = table.mapInArrow(code, "doc_id bigint, n bigint, at binary, payload binary, part int")
+    coded = coded.repartitionById(len(bounds.value) + 2, "part").sortWithinPartitions("part", "doc_id")
 
     def segments(batches):
         import pyarrow as pa
