@@ -35,9 +35,9 @@ def token_pieces(docs: DataFrame, file: str, max_len: int = 4096, end_id: int =
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             doc_ids, texts = (batch.column(i).to_pylist() for i in (0, 1))
-            for lo in range(0, len(texts), 500):
+            for lo in range(0, len(texts), 2000):
                 rows: tuple[list, ...] = ([], [], [], [], [], [], [])
-                for doc_id, ids in zip(doc_ids[lo : lo + 500], encode(texts[lo : lo + 500])):
+                for doc_id, ids in zip(doc_ids[lo : lo + 2000], encode(texts[lo : lo + 2000])):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * max_len)):
                         own = ids[at : at + 4 * max_len]

@@ -66,14 +66,14 @@ def code_book(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return codes, by_id
 
 
-def decode_table(codes: np.ndarray, lengths: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(id, length) for each value of the next max_bits bits."""
-    ids, bits = np.zeros(1 << max_bits, np.uint32), np.zeros(1 << max_bits, np.uint8)
+def decode_table(codes: np.ndarray, lengths: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
+    """For each value of the next max_bits bits, the id in the high bits and the code's length in the low five."""
+    table = np.zeros(1 << max_bits, np.uint32)
     used = np.flatnonzero(lengths)
     used = used[np.argsort(codes[used] << (max_bits - lengths[used]).astype(np.uint64))]
     spans = 1 << (max_bits - lengths[used])
-    ids[: spans.sum()], bits[: spans.sum()] = np.repeat(used, spans), np.repeat(lengths[used], spans)
-    return ids, bits
+    table[: spans.sum()] = np.repeat(used << 5 | lengths[used], spans)
+    return table
 
 
 def packed_bits(codes: np.ndarray, lengths: np.ndarray, at: np.ndarray, n_bytes: int) -> bytes:
@@ -92,32 +92,36 @@ def packed_bits(codes: np.ndarray, lengths: np.ndarray, at: np.ndarray, n_bytes:
 def encoded(ids: list[np.ndarray], codes: np.ndarray, lengths: np.ndarray) -> list[tuple[bytes, np.ndarray]]:
     """Each document's payload, from a whole byte on, and the bit offsets of its blocks."""
     every = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-    size = lengths[every]
+    entry = (codes << np.uint64(5) | lengths.astype(np.uint64))[every]
+    size = (entry & np.uint64(31)).astype(np.int64)
     ends = np.cumsum(size)
     edge = np.cumsum([0, *map(len, ids)])
     before = np.concatenate([[0], ends])[edge]
     whole = (np.diff(before) + 7) // 8
     byte = np.concatenate([[0], np.cumsum(whole)])
     at = ends - size + np.repeat(byte[:-1] * 8 - before[:-1], np.diff(edge))
-    data = packed_bits(codes[every], size, at, int(byte[-1]))
+    data = packed_bits(entry >> np.uint64(5), size, at, int(byte[-1]))
     return [(data[byte[i] : byte[i + 1]], (at[edge[i] : edge[i + 1] : BLOCK] - 8 * byte[i])) for i in range(len(ids))]
 
 
-def decoded(payload: bytes, offsets: np.ndarray, counts: np.ndarray, ids: np.ndarray, bits: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
+def decoded(payload: bytes, offsets: np.ndarray, counts: np.ndarray, table: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
     """The ids of all blocks, one after another; every step decodes one id of each block left."""
     words = np.frombuffer(payload + b"\0" * (16 - len(payload) % 8), ">u4").astype(np.uint64)
-    out, start = np.zeros(int(counts.sum()), np.uint32), np.cumsum(counts) - counts
+    pairs = words[:-1] << np.uint64(32) | words[1:]
     order = np.argsort(-counts, kind="stable")
-    at, to, left = offsets[order].astype(np.int64), start[order], counts[order]
-    active = np.searchsorted(-left, -np.arange(int(left[0]) if len(left) else 0), side="left")
+    at, left = offsets[order].astype(np.int64), counts[order]
+    steps = int(left[0]) if len(left) else 0
+    active = np.searchsorted(-left, -np.arange(steps), side="left")
     mask = np.uint64((1 << max_bits) - 1)
+    rows = np.zeros((steps, len(left)), np.uint32)
     for step, n in enumerate(active):
         p = at[:n]
-        w = p >> 5
-        window = ((words[w] << np.uint64(32) | words[w + 1]) >> (64 - max_bits - (p & 31)).astype(np.uint64)) & mask
-        out[to[:n] + step] = ids[window]
-        at[:n] += bits[window]
-    return out
+        row = rows[step, :n]
+        np.take(table, pairs[p >> 5] >> (64 - max_bits - (p & 31)).view(np.uint64) & mask, out=row)
+        p += row & 31
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return (rows.T[place] >> 5)[np.arange(steps) < counts[:, None]]
 
 
 def id_table(docs: DataFrame, file: str, end_id: int = 0) -> DataFrame:
@@ -131,11 +135,11 @@ def id_table(docs: DataFrame, file: str, end_id: int = 0) -> DataFrame:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
-            for lo in range(0, batch.num_rows, 500):
-                ids = [x + end for x in encode(texts[lo : lo + 500].to_pylist())]
+            for lo in range(0, batch.num_rows, 2000):
+                ids = [x + end for x in encode(texts[lo : lo + 2000].to_pylist())]
                 if not wide:
                     ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-                yield pa.RecordBatch.from_arrays([doc_ids[lo : lo + 500], pa.array(ids, pa.binary()), pa.array([4 if wide else 2] * len(ids), pa.int32())], names=["doc_id", "ids", "width"])
+                yield pa.RecordBatch.from_arrays([doc_ids[lo : lo + 2000], pa.array(ids, pa.binary()), pa.array([4 if wide else 2] * len(ids), pa.int32())], names=["doc_id", "ids", "width"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, ids binary, width int")
 
@@ -255,11 +259,12 @@ def read_ids(segments: DataFrame, book: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        ids, bits = decode_table(*shared.value)
+        forget()
+        table = decode_table(*shared.value)
         for batch in batches:
             for row in batch.to_pylist():
                 n = np.frombuffer(row["counts"], "<i8")
-                got = decoded(row["payload"], np.frombuffer(row["block_at"], "<i8"), np.frombuffer(row["block_n"], "<i4").astype(np.int64), ids, bits).astype("<u4")
+                got = decoded(row["payload"], np.frombuffer(row["block_at"], "<i8"), np.frombuffer(row["block_n"], "<i4").astype(np.int64), table).astype("<u4")
                 start = np.cumsum(n) - n
                 doc_ids = np.frombuffer(row["doc_ids"], "<i8")
                 known = np.frombuffer(row["known"], np.uint8) == 0

@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 #: Entries of each of a worker's two caches, the longest part kept, and characters cut at a time.
-CACHE_WORDS, CACHE_CHARS, GROUP_CHARS = 400_000, 64, 6_000_000
+CACHE_WORDS, CACHE_CHARS, GROUP_CHARS = 650_000, 64, 6_000_000
 #: Characters beyond ASCII without U+001C to U+001F and the Latin-1 letters.
 OTHER = re.compile("[^\x00-\x1b -~\xc0-\xd6\xd8-\xf6\xf8-\xff]")
 #: Classes of bytes: blank 0, letter 1 (with all bytes of Latin-1 letters), digit 2, other 3, apostrophe 4.
@@ -37,12 +37,38 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.lower = "Lowercase" in str(self.tokenizer.normalizer)
+        # Many words are encoded as one text: byte-level files give the line ends between them an id
+        # of their own, the others mark the last id of a word.
+        self.ends = None
+        if self.lower:
+            vocab = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        else:
+            (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, with at most one blank before each."""
+        if not words:
+            return []
+        (got,) = self.tokenizer.encode_batch_fast([(" " if self.lower else "\n").join(words)], add_special_tokens=False)
+        ids = np.array(got.ids, "<u4")
+        data = ids.tobytes()
+        if self.lower:
+            stop = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            start = [0, *stop[:-1]]
+        else:
+            at = 4 * np.flatnonzero(ids == self.line_end)
+            start, stop = [0, *(at + 4).tolist()], [*at.tolist(), len(data)]
+        if len(stop) != len(words):
+            return self.whole(words)
+        return [data[a:b] for a, b in zip(start, stop)]
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
         out = [b""] * len(texts)
@@ -93,22 +119,30 @@ class Encoder:
     def values(self, words: list[str]) -> list[bytes]:
         """The ids of distinct parts, from the caches as far as they are known."""
         known, older = self.known, self.older
-        fresh = []
-        for w in words:
-            if w not in known:
-                if w in older:
-                    known[w] = older[w]
-                else:
-                    fresh.append(w)
-        known.update(zip(fresh, self.whole(fresh)))
-        out = [known[w] for w in words]
-        for w in fresh:
-            if len(w) > CACHE_CHARS:
-                del known[w]
+        out = list(map(known.get, words))
+        miss = [i for i, v in enumerate(out) if v is None]
+        fresh, mixed = [], []
+        for i in miss:
+            w = words[i]
+            if (v := older.get(w)) is not None:
+                known[w] = out[i] = v
+            elif w.isalpha() or (w[0] == " " and w[1:].isalpha()):
+                fresh.append(i)
+            else:
+                mixed.append(i)
+        for lo in range(0, len(fresh), 5000):
+            self.keep(fresh[lo : lo + 5000], self.words([words[i] for i in fresh[lo : lo + 5000]]), words, out)
+        self.keep(mixed, self.whole([words[i] for i in mixed]), words, out)
         if len(known) > CACHE_WORDS:
             self.known, self.older = {}, known
         return out
 
+    def keep(self, at: list[int], values: list[bytes], words: list[str], out: list[bytes]) -> None:
+        for i, v in zip(at, values):
+            out[i] = v
+            if len(words[i]) <= CACHE_CHARS:
+                self.known[words[i]] = v
+
 
 def encoder(file: str) -> Encoder:
     """The worker's encoder of a tokenizer file."""
