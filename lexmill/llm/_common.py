@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +16,28 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def shipped(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a context; they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(shipped, "to", None) is sc:
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="lexmill-code-")  # the context fetches it from here as executors come
+    atexit.register(shutil.rmtree, folder, True)
+    with zipfile.ZipFile(f"{folder}/{root.name}.zip", "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(f"{folder}/{root.name}.zip")
+    shipped.to = sc
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share.
 
     The setting is only made up (a temporary folder) where it is unset and the master is
     local, as in tests; on a cluster without it this raises.
     """
+    shipped(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local["):
@@ -26,8 +45,6 @@ def work_dir(spark: SparkSession) -> str:
         base = getattr(work_dir, "base", None)
         if base is None:
             base = work_dir.base = tempfile.mkdtemp(prefix="lexmill-")
-            import atexit
-
             atexit.register(shutil.rmtree, base, True)
         base = "file://" + base
     return f"{base.rstrip('/')}/lexmill-{uuid.uuid4().hex}"
@@ -52,6 +69,7 @@ def small(df: DataFrame, rows: int) -> bool:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
