@@ -5,11 +5,9 @@ the first n - ceil(t n) + 1 of each. Candidates come from the prefixes under a f
 that puts tokens of crowded counters of a bounded sketch last; a candidate must also share a
 prefix token under a second and a third order before the whole sets are compared.
 
-Documents of equal sets are one class, and components are asked for, not pairs: each
-prefix token's classes are first compared with a few anchors of that token, and what is found
-joins classes into components. Only classes of one token that are in different components
-then remain to be compared, and all of those are. So a group of many near copies costs a few
-comparisons a member, no link between different sets is lost, and no list of a token's
+Documents of equal sets are one class, and components are asked for, not pairs, so the
+candidates of a token are compared as in candidates.py: a group of many near copies costs a
+few comparisons a member, no link between different sets is lost, and no list of a token's
 documents is ever gathered in one place.
 """
 
@@ -20,13 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm._common import work_dir, written
-from lexmill.llm.components import connected_components
+from lexmill.llm.candidates import linked_components
 from lexmill.llm.shingles import grouped, mixed, set_id, shingle_sets
 
-#: Counters of the sketch and the rows it is sent in; documents named in a broadcast at most; anchor rounds at most.
-COUNTERS, CHUNKS, FEW, ROUNDS = 1 << 18, 64, 500_000, 4
-#: Fixed values that reorder classes when anchors are chosen.
-SALTS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x106689D45497FDB5, 0x27BB2EE687B0B0FD, 0x61C8864680B583EB, 0x4F1BBCDCBFA53E0B)
+#: Counters of the sketch and the rows it is sent in; documents named in a broadcast at most.
+COUNTERS, CHUNKS, FEW = 1 << 18, 64, 500_000
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -171,29 +167,6 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.col("a_n") + F.col("b_n") - common)).select("a", "b")
 
 
-def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
-    close = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    return pairs.where(close).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def _anchor_pairs(shared: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each class with four anchors of each of its tokens: the smallest and largest under two orders."""
-    salts = [F.lit(s) for s in SALTS[2 * turn % len(SALTS) : 2 * turn % len(SALTS) + 2]]
-    best = [f(F.col("cls").bitwiseXOR(s)).alias(f"{f.__name__}{i}") for i, s in enumerate(salts) for f in (F.min, F.max)]
-    anchors = shared.groupBy("token").agg(*best)
-    anchors = anchors.select("token", F.array_distinct(F.array(*[F.col(f"{f}{i}").bitwiseXOR(s) for i, s in enumerate(salts) for f in ("min", "max")])).alias("anchors"))
-    sides = shared.join(anchors, "token").select(F.col("cls").alias("x"), "n", "comp", F.explode("anchors").alias("y")).where("x <> y").distinct()
-    other = shared.select(F.col("cls").alias("y"), F.col("n").alias("m"), F.col("comp").alias("comp2")).distinct()
-    return _ordered(sides.join(other, "y").where("comp <> comp2"), percent)
-
-
-def _mixed(shared: DataFrame) -> DataFrame:
-    """The postings of tokens whose classes are in two components or more, with the token's commonest component as main."""
-    by = shared.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
-    main = by.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("k").alias("all")).where("comps > 1")
-    return shared.join(main.select("token", F.col("main.comp").alias("main"), (F.col("all") * (F.col("all") - F.col("main.k"))).alias("work")), "token")
-
-
 def similar_classes(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, cls) of every document, and (cls, component_id) of the classes that are not a document alone."""
     spark = docs.sparkSession
@@ -208,33 +181,8 @@ def similar_classes(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     wanted = classes.join(shared.select("cls").distinct(), "cls").select("doc_id", "cls")
     sets = written(whole_sets(docs, wanted, words, percent, text), folder, "sets", "uncompressed")
 
-    edges, labels = None, None
-    shared = shared.withColumn("comp", F.col("cls"))
-    for turn in range(ROUNDS + 1):
-        if turn:
-            left = shared.drop("comp", "main", "work").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-            shared = written(_mixed(left), folder, f"mixed-{turn}")
-            size = shared.groupBy("token").agg(F.max("work").alias("w"), F.count(F.lit(1)).alias("n")).agg(F.sum("w").alias("w"), F.sum("n").alias("n")).first()
-            if not size.n:
-                break
-            last = turn == ROUNDS or size.w <= 8 * size.n + 10_000
-        else:
-            last = False
-        if last:
-            x = shared.where("comp <> main").select("token", F.col("cls").alias("x"), "n", "comp")
-            y = shared.select("token", F.col("cls").alias("y"), F.col("n").alias("m"), F.col("comp").alias("comp2"))
-            pairs = _ordered(x.join(y, "token").where("comp <> comp2"), percent)
-        else:
-            pairs = _anchor_pairs(shared, turn, percent)
-        found = written(verified(written(pairs, folder, f"pairs-{turn}"), sets, percent), folder, f"links-{turn}")
-        if last and found.isEmpty():
-            break
-        edges = found if edges is None else edges.unionByName(found)
-        labels = connected_components(edges, folder, f"cc-{turn}").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-        if last:
-            break
-    if labels is None:
-        labels = shared.select("cls", "comp").limit(0)
+    close = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    labels = linked_components(shared, lambda pairs: verified(pairs, sets, percent), folder, close)
     named_by = classes.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = named_by.join(labels.select("comp").distinct(), "comp", "left_semi").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     linked = named_by.join(smallest, "comp", "left").where("component_id is not null or copies > 1")

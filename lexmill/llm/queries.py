@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import langid, mixing, ngram_join, packing, quality_rules, secret_scan, token_files, vector_join, window_dedup
+from lexmill.llm import langid, line_dedup, mixing, ngram_join, packing, quality_rules, secret_scan, token_files, vector_join, window_dedup
 from lexmill.llm._common import table
 from lexmill.llm.tokens import public_file
 
@@ -41,12 +41,16 @@ def op4_vector_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.similar_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.window_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_ngram_join, op2_language_id, op3_best_fit_packing, op4_vector_range_join, op5_source_mixing, op7_token_files, op8_secret_scan, op9_quality_rules, op10_repeated_windows)
+    for f in (op1_ngram_join, op2_language_id, op3_best_fit_packing, op4_vector_range_join, op5_source_mixing, op6_line_dedup, op7_token_files, op8_secret_scan, op9_quality_rules, op10_repeated_windows)
 }
 ORACLE: dict[str, str] = {"op5_source_mixing": mixing.ORACLE, "op8_secret_scan": secret_scan.ORACLE}
