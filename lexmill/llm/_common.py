@@ -19,6 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shipped(spark: SparkSession) -> None:
     """Send this package to the Python workers, once a context; they need not have it installed."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # whole texts travel in these batches
     if getattr(shipped, "to", None) is sc:
         return
     root = Path(__file__).resolve().parents[1]

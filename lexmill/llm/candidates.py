@@ -1,6 +1,6 @@
 """Components of a similarity graph from tokens that linked classes share, without listing all pairs.
 
-Every token's classes are first compared with four anchors of the token, and the links found
+Every token's classes are first compared with two anchors of the token, and the links found
 join classes into components. Then only classes of one token that are in different components
 remain, and all of these are compared: those outside a token's commonest component with every
 class of another component. While that would be much more than the rows, another round of
@@ -19,8 +19,8 @@ from lexmill.llm._common import written
 from lexmill.llm.components import connected_components
 
 #: Rounds of anchors at most, and the fixed values that reorder classes when anchors are chosen.
-ROUNDS = 4
-SALTS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x106689D45497FDB5, 0x27BB2EE687B0B0FD, 0x61C8864680B583EB, 0x4F1BBCDCBFA53E0B)
+ROUNDS = 6
+SALTS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x106689D45497FDB5, 0x27BB2EE687B0B0FD, 0x61C8864680B583EB)
 
 
 def _ordered(pairs: DataFrame, close: Callable[[str, str], Column] | None) -> DataFrame:
@@ -30,11 +30,10 @@ def _ordered(pairs: DataFrame, close: Callable[[str, str], Column] | None) -> Da
 
 
 def _anchor_pairs(shared: DataFrame, turn: int, close) -> DataFrame:  # noqa: ANN001
-    """Each class with four anchors of each of its tokens: the smallest and largest under two orders."""
-    salts = [F.lit(s) for s in SALTS[2 * turn % len(SALTS) : 2 * turn % len(SALTS) + 2]]
-    best = [f(F.col("cls").bitwiseXOR(s)).alias(f"{f.__name__}{i}") for i, s in enumerate(salts) for f in (F.min, F.max)]
-    anchors = shared.groupBy("token").agg(*best)
-    anchors = anchors.select("token", F.array_distinct(F.array(*[F.col(f"{f}{i}").bitwiseXOR(s) for i, s in enumerate(salts) for f in ("min", "max")])).alias("anchors"))
+    """Each class with two anchors of each of its tokens: the smallest and the largest under an order of the turn."""
+    salt = F.lit(SALTS[turn % len(SALTS)])
+    best = shared.groupBy("token").agg(*[f(F.col("cls").bitwiseXOR(salt)).alias(f.__name__) for f in (F.min, F.max)])
+    anchors = best.select("token", F.array(*[F.col(f).bitwiseXOR(salt) for f in ("min", "max")]).alias("anchors"))
     sides = shared.join(anchors, "token").select(F.col("cls").alias("x"), "n", "comp", F.explode("anchors").alias("y")).where("x <> y").distinct()
     other = shared.select(F.col("cls").alias("y"), F.col("n").alias("m"), F.col("comp").alias("comp2")).distinct()
     return _ordered(sides.join(other, "y").where("comp <> comp2"), close)

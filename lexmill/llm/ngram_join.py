@@ -1,9 +1,11 @@
 """N-gram Jaccard join by prefixes under several global orders.
 
 Two sets with Jaccard similarity t share, under any one order of all tokens, a token among
-the first n - ceil(t n) + 1 of each. Candidates come from the prefixes under a first order
-that puts tokens of crowded counters of a bounded sketch last; a candidate must also share a
-prefix token under a second and a third order before the whole sets are compared.
+the first n - ceil(t n) + 1 of each, and k of them if the prefix is longer by k - 1. Candidates
+come from prefixes under a first order that puts tokens of crowded counters of a bounded
+sketch last; a document whose prefix has fewer than k tokens that any other has is out, so
+that a common line or passage makes no candidates. A candidate must also share a prefix token
+under a second and a third order before the whole sets are compared.
 
 Documents of equal sets are one class, and components are asked for, not pairs, so the
 candidates of a token are compared as in candidates.py: a group of many near copies costs a
@@ -23,10 +25,17 @@ from lexmill.llm.shingles import grouped, mixed, set_id, shingle_sets
 
 #: Counters of the sketch and the rows it is sent in; documents named in a broadcast at most.
 COUNTERS, CHUNKS, FEW = 1 << 18, 64, 500_000
+#: Prefixes are longer by this percentage of the set, and linked sets then share as many tokens more.
+MORE = 5
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - (percent * n + 99) // 100 + 1
+def least_shared(n: int) -> int:
+    return max(1, MORE * n // 100)
+
+
+def prefix_length(n: int, percent: int, shared: int = 1) -> int:
+    """The shortest prefix, under any order, of which linked sets share so many tokens."""
+    return min(n, n - (percent * n + 99) // 100 + shared)
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -58,7 +67,7 @@ def named_sets(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
 
 
 def crowding(named: DataFrame) -> np.ndarray:
-    """For each counter, how often it doubles the mean: 0 for most. Any value gives a valid order."""
+    """For each counter, twice the logarithm of its ratio to the mean: 0 for most. Any value gives a valid order."""
 
     def add(batches):
         import pyarrow as pa
@@ -73,7 +82,7 @@ def crowding(named: DataFrame) -> np.ndarray:
     sketch = np.zeros((CHUNKS, COUNTERS // CHUNKS))
     for r in rows:
         sketch[r.chunk] += np.frombuffer(r.counters, "<i8")
-    return np.clip(np.log2((sketch + 1) / (sketch.mean() + 1)) - 1, 0, 15).astype(np.uint8).ravel()
+    return np.clip(2 * np.log2((sketch + 1) / (sketch.mean() + 1)), 0, 15).astype(np.uint8).ravel()
 
 
 def prefixes(docs: DataFrame, order, words: int, percent: int, text: str = "text") -> DataFrame:
@@ -90,7 +99,7 @@ def prefixes(docs: DataFrame, order, words: int, percent: int, text: str = "text
                     if not len(s) or (name := set_id(s)) in seen:
                         continue
                     seen.add(name)
-                    p = prefix_length(len(s), percent)
+                    p = prefix_length(len(s), percent, least_shared(len(s)))
                     key = crowd[(s & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(60) | mixed(s, 11) >> np.uint64(4)
                     tokens.append(s[np.argpartition(key, p - 1)[:p]])
                     cls.append(name)
@@ -175,7 +184,11 @@ def similar_classes(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     named = written(named_sets(docs, words, text), folder, "named")
     rows = named.where("kind = 0").select("doc_id", "n", "cls")
     order = spark.sparkContext.broadcast(crowding(named))  # COUNTERS bytes
-    shared = written(shared_tokens(prefixes(docs, order, words, percent, text)), folder, "shared")
+    shared = written(shared_tokens(prefixes(docs, order, words, percent, text)), folder, "tokens")
+    enough = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("m")).where(F.col("k") >= F.greatest(F.lit(1), F.floor(MORE * F.col("m") / 100)))
+    shared = written(shared.join(enough.select("cls"), "cls").select("token", "cls", "n"), folder, "likely")
+    again = shared.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
+    shared = written(shared.join(again, "token"), folder, "shared")
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes, folder, "classes")
     wanted = classes.join(shared.select("cls").distinct(), "cls").select("doc_id", "cls")
