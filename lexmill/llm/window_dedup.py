@@ -24,7 +24,7 @@ from lexmill.llm._common import work_dir, written
 from lexmill.llm.shingles import _BASE, _BYTE, _INVERSE, mixed, powers
 
 #: Threshold and minimizer gram in bytes, windows of a block, bytes hashed at a time, documents named in a broadcast at most.
-WINDOW, GRAM, BLOCK, GROUP_BYTES, FEW = 400, 64, 32, 1 << 20, 500_000
+WINDOW, GRAM, BLOCK, GROUP_BYTES, FEW = 400, 64, 32, 1 << 18, 500_000
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
