@@ -1,32 +1,36 @@
 """N-gram Jaccard join by prefixes under several global orders.
 
-Two sets with Jaccard similarity t share, under any one order of all tokens, a token among
-the first n - ceil(t n) + 1 of each, and k of them if the prefix is longer by k - 1. Candidates
-come from prefixes under a first order that puts tokens of crowded counters of a bounded
-sketch last; a document whose prefix has fewer than k tokens that any other has is out, so
-that a common line or passage makes no candidates. A candidate must also share a prefix token
-under a second and a third order before the whole sets are compared.
-
-Documents of equal sets are one class, and components are asked for, not pairs, so the
-candidates of a token are compared as in candidates.py: a group of many near copies costs a
-few comparisons a member, no link between different sets is lost, and no list of a token's
-documents is ever gathered in one place.
+Two sets with Jaccard similarity t share, under any one order of all tokens, k tokens among
+the first n - ceil(t n) + k of each. The first order puts tokens of crowded counters of a
+bounded sketch last; a document whose prefix has fewer than k tokens that any other has is
+out. The tokens left are counted exactly, and under the order by that count linked documents
+share a token of the first s - k + 1 of the s that each has left. Only documents that share
+such a token, directly or through others, are in one family, so a common line or passage
+makes no family. A third order, by hash, is the last filter before whole sets are compared.
+
+Documents of equal sets are one class. A family's sets are shipped once, in blocks of bounded
+size; pairs are counted inside a block and only a spanning forest of the links leaves it.
+Large families have anchors in every block; after that only members outside the family's main
+component visit the other blocks. No link between different sets is lost, no pairs are
+emitted, and no family is ever gathered in one place.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm._common import work_dir, written
-from lexmill.llm.candidates import linked_components
+from lexmill.llm.components import connected_components
 from lexmill.llm.shingles import grouped, mixed, set_id, shingle_sets
 
 #: Counters of the sketch and the rows it is sent in; documents named in a broadcast at most.
 COUNTERS, CHUNKS, FEW = 1 << 18, 64, 500_000
 #: Prefixes are longer by this percentage of the set, and linked sets then share as many tokens more.
-MORE = 5
+MORE = 10
+#: Tokens and classes of a block, and visitors compared with it at a time.
+BLOCK_TOKENS, BLOCK_SETS, VISITORS = 400_000, 800, 200
 
 
 def least_shared(n: int) -> int:
@@ -138,42 +142,161 @@ def shared_tokens(postings: DataFrame) -> DataFrame:
     return postings.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(run, postings.schema)
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
-    """(cls, n, second, third, tokens) of the wanted classes (doc_id, cls): prefixes under two more orders and the set."""
+def second_prefixes(shared: DataFrame, folder: str) -> DataFrame:
+    """(token, cls): of each class with enough shared tokens, the prefix by the tokens' exact counts."""
+    least = F.greatest(F.lit(1), F.floor(MORE * F.col("n") / 100))
+    enough = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("s"), F.min("n").alias("n")).where(F.col("s") >= least)
+    likely = written(shared.select("token", "cls").join(enough.select("cls", (F.col("s") - least + 1).alias("p")), "cls"), folder, "likely")
+    counts = likely.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    rank = F.row_number().over(Window.partitionBy("cls").orderBy("k", "token"))
+    alone = likely.join(counts, "token", "left").withColumn("k", F.coalesce("k", F.lit(1).cast("bigint")))
+    return alone.withColumn("r", rank).where("r <= p and k > 1").select("token", "cls")
+
+
+def families(prefix: DataFrame, folder: str) -> DataFrame:
+    """(cls, family) of classes that share a token, directly or through others."""
+    least = prefix.groupBy("token").agg(F.min("cls").alias("b"))
+    edges = prefix.join(least, "token").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
+    return connected_components(edges, folder, "families").select(F.col("node").alias("cls"), F.col("component").alias("family"))
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, words: int, text: str = "text") -> DataFrame:
+    """(cls, family, tokens) of the wanted classes (doc_id, cls, family)."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            wanted_cls = batch.column(0).to_pylist()
-            for first, group in grouped(batch.column(1).to_pylist()):
-                rows: tuple[list, ...] = ([], [], [], [], [])
-                for name, s in zip(wanted_cls[first:], shingle_sets(group, words)):
-                    if len(s) and set_id(s) == name:
-                        p = prefix_length(len(s), percent)
-                        second, third = (_signed(s[np.argpartition(mixed(s, salt), p - 1)[:p]]) for salt in (21, 22))
-                        for column, value in zip(rows, (name, len(s), second, third, _signed(s))):
-                            column.append(value)
-                types = (pa.int64(), pa.int32(), *[pa.list_(pa.int64())] * 3)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=["cls", "n", "second", "third", "tokens"])
+            wanted_cls, family = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for first, group in grouped(batch.column(2).to_pylist()):
+                rows = [(c, f, s.tobytes()) for c, f, s in zip(wanted_cls[first:], family[first:], shingle_sets(group, words)) if len(s) and set_id(s) == c]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["cls", "family", "tokens"])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text__"))
-    joined = texts.join(F.broadcast(wanted) if wanted.count() <= FEW else wanted, "doc_id").select("cls", "text__")
-    return joined.mapInArrow(run, "cls bigint, n int, second array<bigint>, third array<bigint>, tokens array<bigint>")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough, of those that also share a prefix token under the other orders."""
+    joined = texts.join(F.broadcast(wanted) if wanted.count() <= FEW else wanted, "doc_id").select("cls", "family", "text__")
+    return joined.mapInArrow(run, "cls bigint, family bigint, tokens binary")
+
+
+def pair_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two sets share, above the diagonal."""
+    d = len(sets)
+    flat, own = np.concatenate(sets), np.repeat(np.arange(d), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, own = flat[order], own[order]
+    edge = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1], True])
+    length = np.diff(edge)
+    out = np.zeros(d * d, np.int64)
+    for n in np.unique(length[length > 1]):
+        start = edge[:-1][length == n]
+        x, y = np.triu_indices(n, 1)
+        step = max(1, 2_000_000 // len(x))
+        for lo in range(0, len(start), step):
+            m = own[start[lo : lo + step, None] + np.arange(n)]
+            out += np.bincount((m[:, x] * d + m[:, y]).ravel(), minlength=d * d)
+    return out.reshape(d, d)
+
+
+def similar_pairs(sets: list[np.ndarray], percent: int, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs i < j of sets that are similar; with first, only those with i < first <= j."""
+    n = np.array([len(s) for s in sets])
+    third = [s[np.argpartition(mixed(s, 22), p - 1)[:p]] for s in sets for p in (prefix_length(len(s), percent),)]
+    maybe = (pair_counts(third) > 0) & (100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n))
+    if first:
+        maybe[first:], maybe[:, :first] = False, False
+    some = np.flatnonzero(maybe.any(axis=0) | maybe.any(axis=1))
+    if not len(some):
+        return some, some
+    common = pair_counts([sets[i] for i in some])
+    i, j = np.nonzero((100 * common >= percent * (n[some][:, None] + n[some] - common)) & maybe[np.ix_(some, some)])
+    return some[i], some[j]
+
+
+def _groups(batches, count: int):
+    """(key, [(cls, comp, resident, set), …]) of consecutive rows with one key; visitors come VISITORS at a time after the residents."""
+    key, rows = None, []
+    for batch in batches:
+        columns = [batch.column(i).to_pylist() for i in range(count)]
+        for family, block, resident, cls, comp, tokens in zip(*columns):
+            if key != (family, block):
+                if rows:
+                    yield key, rows
+                key, rows = (family, block), []
+            rows.append((cls, comp, resident, np.frombuffer(tokens, np.uint64)))
+            if not resident and sum(not r[2] for r in rows) >= VISITORS:
+                yield key, rows
+                rows = [r for r in rows if r[2]]
+    if rows and (len(rows) > 1):
+        yield key, rows
+
+
+def linked(placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a forest of the links inside each block, or one link of each visitor to each component of the residents.
+
+    placed: (family, block, resident, cls, comp, tokens); comp is null in the first round, in
+    which everything in a block is compared with everything.
+    """
 
-    def sided(side: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("cls").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
+    def run(batches):
+        import pyarrow as pa
 
-    near = pairs.join(sided("a", "n", "second", "third"), "a").join(sided("b", "n", "second", "third"), "b")
-    near = near.where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-    near = near.where(F.arrays_overlap("a_second", "b_second")).where(F.arrays_overlap("a_third", "b_third")).select("a", "b")
-    both = near.join(sided("a", "n", "tokens"), "a").join(sided("b", "n", "tokens"), "b")
-    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return both.where(100 * common >= percent * (F.col("a_n") + F.col("b_n") - common)).select("a", "b")
+        for _, rows in _groups(batches, 6):
+            residents, visitors = [r for r in rows if r[2]], [r for r in rows if not r[2]]
+            final = bool(rows) and rows[0][1] is not None
+            if len(rows) < 2 or (final and not (residents and visitors)):
+                continue
+            own = residents + visitors
+            i, j = similar_pairs([r[3] for r in own], percent, len(residents) if final else 0)
+            a, b, top = [], [], {}
+
+            def root(x):
+                while top.get(x, x) != x:
+                    x = top[x]
+                return x
+
+            seen = set()
+            for x, y in zip(i.tolist(), j.tolist()):
+                if final:
+                    if own[x][1] == own[y][1] or (own[x][1], y) in seen:
+                        continue
+                    seen.add((own[x][1], y))
+                else:
+                    s, t = root(x), root(y)
+                    if s == t:
+                        continue
+                    top[max(s, t)] = min(s, t)
+                a.append(own[x][0])
+                b.append(own[y][0])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return placed.repartition("family", "block").sortWithinPartitions("family", "block", F.desc("resident")).mapInArrow(run, "a bigint, b bigint")
+
+
+def class_components(sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """(cls, comp) of the classes that have a link; sets: written (cls, family, tokens)."""
+    size = F.octet_length("tokens") / 8
+    blocks = sets.groupBy("family").agg(F.ceil(F.greatest(F.sum(size) / BLOCK_TOKENS, F.count(F.lit(1)) / BLOCK_SETS)).cast("int").alias("blocks"), F.min("cls").alias("low"), F.max("cls").alias("high"))
+    blocks = written(blocks, folder, "blocks")
+    homed = sets.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    none = F.lit(None).cast("bigint")
+    own = homed.select("family", "block", F.lit(True).alias("resident"), "cls", none.alias("comp"), "tokens")
+    anchors = homed.where("blocks > 1 and (cls = low or cls = high)").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("b <> block")
+    anchors = anchors.select("family", F.col("b").alias("block"), F.lit(True).alias("resident"), "cls", none.alias("comp"), "tokens")
+    edges = written(linked(own.unionByName(anchors), percent), folder, "links-1")
+    labels = connected_components(edges, folder, "cc-1").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+    if blocks.where("blocks > 1").isEmpty():
+        return labels
+
+    large = homed.where("blocks > 1").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    main = large.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("family").agg(F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    mixed_ = large.join(main.select("family", F.col("m.comp").alias("main")), "family")
+    residents = mixed_.select("family", "block", F.lit(True).alias("resident"), "cls", "comp", "tokens")
+    visitors = mixed_.where("comp <> main").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("b <> block")
+    visitors = visitors.select("family", F.col("b").alias("block"), F.lit(False).alias("resident"), "cls", "comp", "tokens")
+    more = written(linked(residents.unionByName(visitors), percent), folder, "links-2")
+    if more.isEmpty():
+        return labels
+    return connected_components(edges.unionByName(more), folder, "cc-2").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
 
 
 def similar_classes(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -185,17 +308,12 @@ def similar_classes(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     rows = named.where("kind = 0").select("doc_id", "n", "cls")
     order = spark.sparkContext.broadcast(crowding(named))  # COUNTERS bytes
     shared = written(shared_tokens(prefixes(docs, order, words, percent, text)), folder, "tokens")
-    enough = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("m")).where(F.col("k") >= F.greatest(F.lit(1), F.floor(MORE * F.col("m") / 100)))
-    shared = written(shared.join(enough.select("cls"), "cls").select("token", "cls", "n"), folder, "likely")
-    again = shared.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
-    shared = written(shared.join(again, "token"), folder, "shared")
+    family = families(written(second_prefixes(shared, folder), folder, "prefixes"), folder)
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes, folder, "classes")
-    wanted = classes.join(shared.select("cls").distinct(), "cls").select("doc_id", "cls")
-    sets = written(whole_sets(docs, wanted, words, percent, text), folder, "sets", "uncompressed")
-
-    close = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    labels = linked_components(shared, lambda pairs: verified(pairs, sets, percent), folder, close)
+    wanted = classes.join(family, "cls").select("doc_id", "cls", "family")
+    sets = written(whole_sets(docs, written(wanted, folder, "wanted"), words, text), folder, "sets", "uncompressed")
+    labels = class_components(sets, percent, folder)
     named_by = classes.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = named_by.join(labels.select("comp").distinct(), "comp", "left_semi").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     linked = named_by.join(smallest, "comp", "left").where("component_id is not null or copies > 1")
