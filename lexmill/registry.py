@@ -3,10 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from lexmill.functions.cites import enriched
+from lexmill.functions.status import flipped
+from lexmill.operators.chunk import chunk_rows
+from lexmill.plans import relation_queries, text_queries  # noqa: F401
+from lexmill.plans.recipe import ORACLE, QUERIES, relation
+
+
+def sections_to_chunks(docs: DataFrame) -> DataFrame:
+    """The flagship: sections enriched over their whole text, then cut into chunks with content-addressed ids."""
+    rows = docs.withColumn("e", enriched(F.col("text"))).withColumn("act_status", flipped(F.lit("in_force"), F.col("text")))
+    rows = chunk_rows(rows, F.concat(F.lit("DOC_"), F.col("doc_id")))
+    return rows.select("point_id", "act_id", "chunk_index", "total_chunks", "chunk", "word_count", "act_status", "parent_chunk_id", "full_text_sha1", "e.*")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "n_chars")
+    return sections_to_chunks(relation(spark, sf_dir, "SELECT doc_id, text FROM {documents}"))
+
+
+QUERIES["sections_to_chunks"] = entry
+
+__all__ = ["ORACLE", "QUERIES", "entry"]
