@@ -11,29 +11,33 @@ from lexmill.plans.recipe import AUTHORITY, CREDITS, DOCS, NODES, PAGES, query
 from lexmill.sources import markup, readers
 from lexmill.streaming import ingest
 
-T = F.col("text")
+
+
+def T():  # noqa: N802
+    return F.col("text")
+
 CITED = """SELECT doc_id, concat('(a) First see ', doc_id % 50 + 1, ' U.S.C. § ', doc_id, 'a, and ', doc_id % 40 + 1, ' C.F.R. § 12.', doc_id % 9, chr(10), '(b) second; Pub. L. 117-', doc_id % 200 + 1, chr(10), '(1) one', chr(10), '(', CASE doc_id % 3 WHEN 0 THEN 'i' WHEN 1 THEN 'ii' ELSE 'a' END, ') last. Amended ', 1900 + doc_id % 120, '; repealed effective in 2050. ') AS text, doc_id % 120 AS y FROM {documents}"""
 
 
 @query("e02_subsections", CITED, "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'a|b|i' WHEN 1 THEN 'a|b|ii' ELSE 'a|b' END AS letters, (CASE doc_id % 3 WHEN 2 THEN 2 ELSE 3 END)::INTEGER AS n, (CASE doc_id % 3 WHEN 2 THEN 1 ELSE 2 END)::INTEGER AS numbered FROM base")
 def _(d):
-    return d.select("doc_id", F.array_join(cites.subsection_letters(T), "|").alias("letters"), F.size(cites.subsection_letters(T)).alias("n"), cites.numbered_paragraphs(T).alias("numbered"))
+    return d.select("doc_id", F.array_join(cites.subsection_letters(T()), "|").alias("letters"), F.size(cites.subsection_letters(T())).alias("n"), cites.numbered_paragraphs(T()).alias("numbered"))
 
 
 @query("e04_references", CITED, "SELECT doc_id, (doc_id % 50 + 1) || ':' || doc_id || 'a' AS usc, (doc_id % 40 + 1) || ':12.' || (doc_id % 9) AS cfr, 'Pub. L. 117-' || (doc_id % 200 + 1) AS laws FROM base WHERE doc_id < 10000")
 def _(d):
-    return d.where("doc_id < 10000").select("doc_id", F.array_join(cites.usc_references(T), "|").alias("usc"), F.array_join(cites.cfr_references(T), "|").alias("cfr"), F.array_join(cites.public_laws(T), "|").alias("laws"))
+    return d.where("doc_id < 10000").select("doc_id", F.array_join(cites.usc_references(T()), "|").alias("usc"), F.array_join(cites.cfr_references(T()), "|").alias("cfr"), F.array_join(cites.public_laws(T()), "|").alias("laws"))
 
 
 @query("e07_amendment_years", CITED, "SELECT doc_id, (1900 + y)::VARCHAR AS years, (1900 + y)::INTEGER AS last FROM base")
 def _(d):
-    years = cites.amendment_years(T, F.lit(2026))
+    years = cites.amendment_years(T(), F.lit(2026))
     return d.select("doc_id", F.array_join(years, "|").alias("years"), F.array_max(years).alias("last"))
 
 
 @query("e01_enrich", CITED, "SELECT doc_id, (CASE doc_id % 3 WHEN 2 THEN 2 ELSE 3 END)::INTEGER AS subsection_count, 2 AS cross_references_count, 1 AS public_laws_count, 2 AS amendments_count, 2050 AS last_amended_year FROM base WHERE y <> 150 AND doc_id < 10000")
 def _(d):
-    return d.where("doc_id < 10000").select("doc_id", cites.enriched(T).alias("e")).select("doc_id", "e.subsection_count", "e.cross_references_count", "e.public_laws_count", "e.amendments_count", "e.last_amended_year")
+    return d.where("doc_id < 10000").select("doc_id", cites.enriched(T()).alias("e")).select("doc_id", "e.subsection_count", "e.cross_references_count", "e.public_laws_count", "e.amendments_count", "e.last_amended_year")
 
 
 @query("e10_constitution_years", "SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'md' WHEN 1 THEN 'tx' WHEN 2 THEN 'wi' ELSE 'zz' END AS st, concat('ratified Nov. 7, ', 1950 + s_suppkey % 40, '; ratified Nov. 2, 2010. (Feb. 15, 1876. Amended Nov. 5, 1918.) [As amended Apr. ', 1950 + s_suppkey % 40, ']') AS t FROM {supplier}", "SELECT s_suppkey, (CASE s_suppkey % 4 WHEN 0 THEN 2 WHEN 3 THEN 0 ELSE 1 END)::INTEGER AS events, CASE s_suppkey % 4 WHEN 0 THEN (1950 + s_suppkey % 40) || '|2010' WHEN 1 THEN '1918' WHEN 2 THEN (1950 + s_suppkey % 40)::VARCHAR ELSE '' END AS years, (CASE s_suppkey % 4 WHEN 0 THEN 2010 WHEN 1 THEN 1918 WHEN 2 THEN 1950 + s_suppkey % 40 END)::INTEGER AS last FROM base")
@@ -136,7 +140,7 @@ def _(d):
 @query("j13_term_join", "SELECT d.doc_id, d.text, b.item_id, b.term FROM {documents} d LEFT JOIN (SELECT item_id, lower(substring(text, 1, strpos(text, ' ') - 1)) AS term FROM {benchmark}) b ON d.doc_id = b.item_id".replace("strpos(text, ' ')", "position(' ' in text)"), r", t AS (SELECT DISTINCT term FROM base WHERE regexp_full_match(term, '[a-z]+')), w AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS term FROM base)" + "\n--\nSELECT term, count(*) AS docs FROM w JOIN t USING (term) GROUP BY term")
 def _(d):
     terms = d.select("term").where(F.col("term").rlike("^[a-z]+$")).distinct()
-    tokens = d.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(T), F.lit("[a-z]+"), F.lit(0)))).alias("term"))
+    tokens = d.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(T()), F.lit("[a-z]+"), F.lit(0)))).alias("term"))
     return tokens.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
 
 
@@ -180,7 +184,7 @@ def _(d):
 
 @query("a06_keep_first", DOCS, "SELECT doc_id, source FROM base QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1")
 def _(d):
-    return rows.keep_first(d.withColumn("h", F.md5(T.cast("binary"))).drop("text"), ["h"], "doc_id").select("doc_id", "source")
+    return rows.keep_first(d.withColumn("h", F.md5(T().cast("binary"))).drop("text"), ["h"], "doc_id").select("doc_id", "source")
 
 
 @query("a08_ordered_distinct", "SELECT s_suppkey, concat(s_nationkey % 3, ',', s_nationkey % 2, ',', s_nationkey % 3) AS l FROM {supplier}", "SELECT s_suppkey, CASE WHEN s_a = s_b THEN s_a ELSE s_a || ',' || s_b END AS l FROM (SELECT s_suppkey, split_part(l, ',', 1) AS s_a, split_part(l, ',', 2) AS s_b FROM base)")
@@ -190,7 +194,7 @@ def _(d):
 
 @query("a09_sorted_capped", DOCS, r"SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[A-Z][a-z]+')))[1:20], '|') AS names FROM base")
 def _(d):
-    return d.select("doc_id", F.array_join(cites.sorted_distinct(text.extract_all(T, "[A-Z][a-z]+"), 20), "|").alias("names"))
+    return d.select("doc_id", F.array_join(cites.sorted_distinct(text.extract_all(T(), "[A-Z][a-z]+"), 20), "|").alias("names"))
 
 
 @query("a10_numbered_repeats", "SELECT l_orderkey, l_linenumber, concat('', l_suppkey % 3) AS num FROM {lineitem}", "SELECT l_orderkey, l_linenumber, num || CASE WHEN k > 1 THEN '-v' || k ELSE '' END AS num2 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, num ORDER BY l_linenumber) AS k FROM base)")
@@ -342,12 +346,12 @@ def _(d):
 
 @query("w10_second_occurrence", DOCS, "SELECT doc_id, CASE WHEN len(string_split(text, 'the ')) > 2 THEN substr(text, length(split_part(text, 'the ', 1)) + 5 + length(split_part(text, 'the ', 2))) WHEN contains(text, 'the ') THEN substr(text, length(split_part(text, 'the ', 1)) + 1) ELSE text END AS tail FROM base")
 def _(d):
-    return d.select("doc_id", segment.second_occurrence(T, "the ").alias("tail"))
+    return d.select("doc_id", segment.second_occurrence(T(), "the ").alias("tail"))
 
 
 @query("w11_sentences", DOCS)
 def _(d):
-    return d.select("doc_id", F.array_join(segment.sentences_with(T, r"\bthe\b"), "|").alias("sentences"))
+    return d.select("doc_id", F.array_join(segment.sentences_with(T(), r"\bthe\b"), "|").alias("sentences"))
 
 
 @query("w13_title_groups", LINES, NUMBERED + "SELECT doc_id, island, count(*) - 1 AS members FROM (SELECT *, sum(CASE WHEN length(line) < 60 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT AS island FROM lines) WHERE island > 0 GROUP BY 1, 2")
@@ -388,7 +392,7 @@ def _(d):
 
 @query("o07_capped", DOCS, "SELECT doc_id, left(text, 200) AS head FROM base")
 def _(d):
-    return d.select("doc_id", F.left(T, F.lit(200)).alias("head"))
+    return d.select("doc_id", F.left(T(), F.lit(200)).alias("head"))
 
 
 @query("o09_last_paragraph", "SELECT conv_id, turn, text FROM {conversations}", "SELECT conv_id, arg_max(text, turn) AS last FROM base GROUP BY 1")
@@ -483,7 +487,7 @@ def _(d):
 # Segmentation over texts and pages.
 @query("t01_segments", DOCS, r"SELECT doc_id, (len(string_split_regex(text, '\bThe\b')) - 1)::INTEGER AS n, coalesce(trim(string_split_regex(text, '\bThe\b')[2]), '') AS first FROM base")
 def _(d):
-    s = segment.segments(T, r"\bThe\b")
+    s = segment.segments(T(), r"\bThe\b")
     return d.select("doc_id", F.size(s).alias("n"), F.coalesce(F.get(s, F.lit(0))["body"], F.lit("")).alias("first"))
 
 
@@ -522,22 +526,23 @@ def _(d):
 
 @query("c02_one_chunk", DOCS, "SELECT doc_id, 0 AS chunk_index, text AS chunk FROM base")
 def _(d):
-    return d.select("doc_id", F.posexplode(F.array(F.coalesce(T, F.lit("")))).alias("chunk_index", "chunk"))
+    return d.select("doc_id", F.posexplode(F.array(F.coalesce(T(), F.lit("")))).alias("chunk_index", "chunk"))
 
 
-FIELDS = F.create_map(*[F.lit(x) for x in ("act_id", "A1", "category", "state_statute", "document_type", "statute", "state", "de", "chunk_index", "0", "total_chunks", "1", "history_notes", "old", "bogus", "1")])
+def FIELDS():  # noqa: N802
+    return F.create_map(*[F.lit(x) for x in ("act_id", "A1", "category", "state_statute", "document_type", "statute", "state", "de", "chunk_index", "0", "total_chunks", "1", "history_notes", "old", "bogus", "1")])
 
 
 @query("f20_payload_audit", DOCS, "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'country_code|jurisdiction|text' ELSE 'country_code|jurisdiction' END AS missing_required, 17 AS missing_expected, 'bogus' AS unknown, 'history_notes' AS deprecated, false AS ok FROM base")
 def _(d):
-    fields = F.map_concat(FIELDS, F.create_map(F.lit("text"), F.when(F.col("doc_id") % 3 == 0, "").otherwise("some text")))
+    fields = F.map_concat(FIELDS(), F.create_map(F.lit("text"), F.when(F.col("doc_id") % 3 == 0, "").otherwise("some text")))
     return d.select("doc_id", payload.audit(fields).alias("x")).select("doc_id", F.array_join("x.missing_required", "|").alias("missing_required"), F.size("x.missing_expected").alias("missing_expected"), F.array_join("x.unknown", "|").alias("unknown"), F.array_join("x.deprecated", "|").alias("deprecated"), "x.ok")
 
 
 @query("p01_canonical_fields", DOCS, "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'own' ELSE 'old' END AS history, 'US' AS jurisdiction FROM base")
 def _(d):
     extra = F.when(F.col("doc_id") % 2 == 0, F.create_map(F.lit("history"), F.lit("own"))).otherwise(F.create_map(F.lit("jurisdiction"), F.lit("")))
-    fixed = payload.with_defaults(payload.canonical(F.map_concat(FIELDS, extra)))
+    fixed = payload.with_defaults(payload.canonical(F.map_concat(FIELDS(), extra)))
     return d.select("doc_id", F.element_at(fixed, F.lit("history")).alias("history"), F.element_at(fixed, F.lit("jurisdiction")).alias("jurisdiction"))
 
 

@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 from lexmill.functions import dates, ids, status, text
 from lexmill.plans.recipe import CREDITS, DOCS, NODES, PAGES, query
 
-T = F.col("text")
+
+
+def T():  # noqa: N802
+    return F.col("text")
+
 
 
 @query("x01_collapse", DOCS, r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS clean FROM base")
 def _(d):
-    return d.select("doc_id", text.collapse(T).alias("clean"))
+    return d.select("doc_id", text.collapse(T()).alias("clean"))
 
 
 @query("x02_collapse_blanks", "SELECT doc_id, concat('  ', replace(text, '.', concat('.   ', chr(10), chr(10), chr(10), chr(10)))) AS text FROM {documents}", r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '\A\s+|\s+\z', '', 'g') AS clean FROM base")
 def _(d):
-    return d.select("doc_id", text.collapse_blanks(T).alias("clean"))
+    return d.select("doc_id", text.collapse_blanks(T()).alias("clean"))
 
 
 @query("x03_without_tags", PAGES, r"SELECT page_id, trim(regexp_replace(replace(replace(replace(html, chr(10), ''), chr(13), ''), chr(160), ' '), '<.*?>', '', 'g')) AS clean FROM base")
@@ -54,17 +58,17 @@ def _(d):
 
 @query("x16_without_header_lines", DOCS, r"SELECT doc_id, array_to_string(list_transform(list_filter(list_zip(string_split(text, chr(10)), range(len(string_split(text, chr(10))))), lambda x: x[2] >= 10 OR NOT regexp_matches(x[1], 'the|de')), lambda x: x[1]), chr(10)) AS body FROM base")
 def _(d):
-    return d.select("doc_id", text.without_header_lines(T, "the|de").alias("body"))
+    return d.select("doc_id", text.without_header_lines(T(), "the|de").alias("body"))
 
 
 @query("x17_from_anchor", DOCS, r"SELECT doc_id, CASE WHEN regexp_matches(text, '[Tt]he ') THEN substr(text, length(regexp_extract(text, '(?s)^(.*?)[Tt]he ', 1)) + 1) ELSE text END AS body FROM base")
 def _(d):
-    return d.select("doc_id", text.from_anchor(T, "[Tt]he ").alias("body"))
+    return d.select("doc_id", text.from_anchor(T(), "[Tt]he ").alias("body"))
 
 
 @query("x18_before_tail", DOCS, r"SELECT doc_id, CASE WHEN regexp_matches(text, '[,;] the') AND length(regexp_extract(text, '(?s)^(.*?)[,;] the', 1)) > 200 THEN rtrim(regexp_extract(text, '(?s)^(.*?)[,;] the', 1)) ELSE text END AS body FROM base")
 def _(d):
-    return d.select("doc_id", text.before_tail(T, "[,;] the").alias("body"))
+    return d.select("doc_id", text.before_tail(T(), "[,;] the").alias("body"))
 
 
 @query("x19_body_and_notes", "SELECT s_suppkey, concat(s_name, ' body. NOTES: see ', s_suppkey) AS t FROM {supplier}", "SELECT s_suppkey, trim(split_part(t, 'NOTES:', 1)) AS body, 'NOTES: ' || trim(split_part(t, 'NOTES:', 2)) AS notes FROM base")
@@ -79,17 +83,17 @@ def _(d):
 
 @query("x21_heading_and_body", DOCS)
 def _(d):
-    return d.select("doc_id", text.heading_and_body(T).alias("x")).select("doc_id", "x.heading", "x.body")
+    return d.select("doc_id", text.heading_and_body(T()).alias("x")).select("doc_id", "x.heading", "x.body")
 
 
 @query("x22_heading_at_terminator", DOCS)
 def _(d):
-    return d.select("doc_id", text.heading_at_terminator(T, r"\.\n").alias("x")).select("doc_id", "x.heading", "x.body")
+    return d.select("doc_id", text.heading_at_terminator(T(), r"\.\n").alias("x")).select("doc_id", "x.heading", "x.body")
 
 
 @query("x23_safe_id", DOCS, "SELECT doc_id, regexp_replace(substr(text, 1, 80), '[^A-Za-z0-9]+', '_', 'g') AS safe FROM base")
 def _(d):
-    return d.select("doc_id", text.safe_id(F.left(T, F.lit(80))).alias("safe"))
+    return d.select("doc_id", text.safe_id(F.left(T(), F.lit(80))).alias("safe"))
 
 
 @query("x24_act_slug", "SELECT s_suppkey, concat(' Act ', s_suppkey, ' of 19', 10 + s_suppkey % 89, ' (1st Ex. Sess.)') AS t FROM {supplier}", "SELECT s_suppkey, 'Act-' || s_suppkey || '-of-19' || (10 + s_suppkey % 89) || '-1st-Ex-Sess-' AS slug FROM base")
@@ -99,7 +103,7 @@ def _(d):
 
 @query("x25_word_count", DOCS, r"SELECT doc_id, len(regexp_extract_all(text, '\S+'))::INTEGER AS words, (length(text) // 4)::INTEGER AS tokens FROM base")
 def _(d):
-    return d.select("doc_id", text.word_count(T).alias("words"), text.token_estimate(T).alias("tokens"))
+    return d.select("doc_id", text.word_count(T()).alias("words"), text.token_estimate(T()).alias("tokens"))
 
 
 @query("x27_ruling_number", "SELECT s_suppkey, concat('AR  ', 80 + s_suppkey % 20, ' – ', s_suppkey, ' ( ', s_suppkey % 11 + 1, ' )') AS t FROM {supplier}", "SELECT s_suppkey, 'AR ' || (80 + s_suppkey % 20) || '-' || s_suppkey || '(' || (s_suppkey % 11 + 1) || ')' AS ruling FROM base")
@@ -177,35 +181,36 @@ UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) ||
 
 @query("x40_point_id", DOCS, f"SELECT doc_id, {UUID} AS point_id FROM (SELECT doc_id, md5('DOC_' || doc_id || '::0::' || CASE WHEN text = '' THEN 'nochunktext' ELSE substr(sha1(text), 1, 12) END) AS h FROM base)")
 def _(d):
-    return d.select("doc_id", ids.point_id(F.concat(F.lit("DOC_"), "doc_id"), F.lit(0), T).alias("point_id"))
+    return d.select("doc_id", ids.point_id(F.concat(F.lit("DOC_"), "doc_id"), F.lit(0), T()).alias("point_id"))
 
 
 @query("x41_point_id_hashed", DOCS, f"SELECT doc_id, {UUID} AS point_id FROM (SELECT doc_id, md5('DOC_' || doc_id || '::0::' || substr(sha1(text), 1, 12)) AS h FROM base)")
 def _(d):
-    return d.select("doc_id", ids.point_id_hashed(F.concat(F.lit("DOC_"), "doc_id"), F.lit(0), T).alias("point_id"))
+    return d.select("doc_id", ids.point_id_hashed(F.concat(F.lit("DOC_"), "doc_id"), F.lit(0), T()).alias("point_id"))
 
 
 @query("x42_point_id_long", DOCS, f"SELECT doc_id, {UUID} AS point_id, sha1(text) AS full_text_sha1 FROM (SELECT doc_id, text, md5('DOC_' || doc_id || '::0::' || sha1(text)) AS h FROM base)")
 def _(d):
-    return d.select("doc_id", ids.point_id_long(F.concat(F.lit("DOC_"), "doc_id"), F.lit(0), T).alias("point_id"), ids.text_sha1(T).alias("full_text_sha1"))
+    return d.select("doc_id", ids.point_id_long(F.concat(F.lit("DOC_"), "doc_id"), F.lit(0), T()).alias("point_id"), ids.text_sha1(T()).alias("full_text_sha1"))
 
 
 @query("x44_parent_chunk_id", DOCS, f"SELECT doc_id, {UUID} AS parent_chunk_id FROM (SELECT doc_id, md5('DOC_' || doc_id || '::-1::' || substr(sha1(text), 1, 12)) AS h FROM base)")
 def _(d):
-    return d.select("doc_id", ids.point_id(F.concat(F.lit("DOC_"), "doc_id"), F.lit(-1), T).alias("parent_chunk_id"))
+    return d.select("doc_id", ids.point_id(F.concat(F.lit("DOC_"), "doc_id"), F.lit(-1), T()).alias("parent_chunk_id"))
 
 
-NODE = F.col("node_id")
+def NODE():  # noqa: N802
+    return F.col("node_id")
 
 
 @query("h01_node_parse", NODES, "SELECT s_suppkey, 'title:' || n_nationkey || '|chapter:' || (s_suppkey % 7) || '|section:' || s_suppkey AS pairs, true AS valid FROM base")
 def _(d):
-    return d.select("s_suppkey", F.array_join(F.transform(ids.pairs(NODE), lambda p: F.concat_ws(":", p["classifier"], p["number"])), "|").alias("pairs"), ids.valid_levels(NODE).alias("valid"))
+    return d.select("s_suppkey", F.array_join(F.transform(ids.pairs(NODE()), lambda p: F.concat_ws(":", p["classifier"], p["number"])), "|").alias("pairs"), ids.valid_levels(NODE()).alias("valid"))
 
 
 @query("h02_levels", NODES, "SELECT s_suppkey, 'section' AS level, 'chapter' AS above, 'us/' || st || '/statutes/title=' || n_nationkey || '/chapter=' || (s_suppkey % 7) AS parent, 'us/' || st || '/statutes/title=' || n_nationkey AS title FROM base")
 def _(d):
-    return d.select("s_suppkey", ids.level(NODE)["classifier"].alias("level"), ids.level(NODE, 2)["classifier"].alias("above"), ids.parent_id(NODE).alias("parent"), ids.ancestor_at(NODE, "title").alias("title"))
+    return d.select("s_suppkey", ids.level(NODE())["classifier"].alias("level"), ids.level(NODE(), 2)["classifier"].alias("above"), ids.parent_id(NODE()).alias("parent"), ids.ancestor_at(NODE(), "title").alias("title"))
 
 
 @query("h05_ancestors", "SELECT s_suppkey, concat(s_nationkey, '.', s_suppkey % 5, '.', s_suppkey) AS path FROM {supplier}", "SELECT s_suppkey, split_part(path, '.', 1) || '|' || split_part(path, '.', 1) || '.' || split_part(path, '.', 2) || '|' || path AS chain FROM base")
@@ -215,17 +220,17 @@ def _(d):
 
 @query("p04_act_id", NODES, "SELECT s_suppkey, 'STATE_' || upper(st) || '_T' || n_nationkey || '_C' || (s_suppkey % 7) || '_S' || s_suppkey AS act_id FROM base")
 def _(d):
-    return d.select("s_suppkey", ids.act_id(NODE, F.col("st")).alias("act_id"))
+    return d.select("s_suppkey", ids.act_id(NODE(), F.col("st")).alias("act_id"))
 
 
 @query("p05_section_number", NODES, "SELECT s_suppkey, s_suppkey::VARCHAR AS section_number, n_nationkey::INTEGER AS title_number FROM base")
 def _(d):
-    return d.select("s_suppkey", ids.section_number(NODE, F.col("heading")).alias("section_number"), ids.title_number(NODE).alias("title_number"))
+    return d.select("s_suppkey", ids.section_number(NODE(), F.col("heading")).alias("section_number"), ids.title_number(NODE()).alias("title_number"))
 
 
 @query("p07_breadcrumb", NODES, "SELECT s_suppkey, 'Title ' || n_nationkey || '|Chapter ' || (s_suppkey % 7) || '|Section ' || s_suppkey AS labels, r_name || ' Code / Title ' || n_nationkey || ' / Chapter ' || (s_suppkey % 7) || ' / Section ' || s_suppkey AS path FROM base")
 def _(d):
-    return d.select("s_suppkey", F.array_join(F.transform(ids.breadcrumb(NODE), lambda b: b["label"]), "|").alias("labels"), ids.display_path(NODE, F.col("r_name")).alias("path"))
+    return d.select("s_suppkey", F.array_join(F.transform(ids.breadcrumb(NODE()), lambda b: b["label"]), "|").alias("labels"), ids.display_path(NODE(), F.col("r_name")).alias("path"))
 
 
 @query("p09_embedding_prefix", NODES, "SELECT s_suppkey, 'Statute: ' || r_name || ' Code (2026) | US | ' || r_name || ' | In Force' || chr(10) || CASE WHEN third > 0 THEN 'Title ' || third || ' | ' ELSE '' END || 'Chapter ' || (s_suppkey % 7) || ' | Section ' || s_suppkey || ': ' || heading || chr(10) || chr(10) AS prefix FROM base")
@@ -292,12 +297,12 @@ HEAD_SQL = r"left(ltrim(regexp_replace(left(ltrim(text), 300), '\A[\d.\-:()§\s]
 
 @query("f03_repealed_head", HEADS, rf"SELECT doc_id, regexp_matches({HEAD_SQL}, '(?i)^\s*(?:\[Repealed[\]\s]|\(Repealed\s+by\b|Repealed\s*\.(?:\s|$)|Repealed\s+by\b)') AS repealed, regexp_matches({HEAD_SQL}, '(?i)^\s*(?:\[Reserved\]|Reserved\s*\.(?:\s|$))') AS reserved FROM base")
 def _(d):
-    return d.select("doc_id", status.is_repealed(T).alias("repealed"), status.is_reserved(T).alias("reserved"))
+    return d.select("doc_id", status.is_repealed(T()).alias("repealed"), status.is_reserved(T()).alias("reserved"))
 
 
 @query("e09_flipped_status", HEADS, rf"SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'expired' WHEN regexp_matches({HEAD_SQL}, '(?i)^\s*(?:\[Repealed[\]\s]|Repealed\s*\.(?:\s|$)|Repealed\s+by\b)') THEN 'repealed' WHEN regexp_matches({HEAD_SQL}, '(?i)^\s*(?:\[Reserved\]|Reserved\s*\.(?:\s|$))') THEN 'reserved' ELSE 'in_force' END AS act_status FROM base")
 def _(d):
-    return d.select("doc_id", status.flipped(F.when(F.col("doc_id") % 3 == 0, "expired").otherwise("in_force"), T).alias("act_status"))
+    return d.select("doc_id", status.flipped(F.when(F.col("doc_id") % 3 == 0, "expired").otherwise("in_force"), T()).alias("act_status"))
 
 
 @query("f01_content_rows", DOCS, "SELECT doc_id, length(text)::INTEGER AS n FROM base WHERE length(text) >= 20")
@@ -313,12 +318,12 @@ def _(d):
 
 @query("f06_keywords", DOCS, "SELECT doc_id, contains(lower(text), 'reserved') OR contains(lower(text), 'repealed') AS hit FROM base")
 def _(d):
-    return d.select("doc_id", status.has_keyword(T, ("reserved", "repealed")).alias("hit"))
+    return d.select("doc_id", status.has_keyword(T(), ("reserved", "repealed")).alias("hit"))
 
 
 @query("f07_first_keyword", DOCS, "SELECT doc_id, CASE WHEN contains(h, 'the') THEN 'the' WHEN contains(h, 'de') THEN 'de' ELSE 'in_force' END AS status FROM (SELECT doc_id, lower(source || ' ' || left(text, 120)) AS h FROM base)")
 def _(d):
-    return d.select("doc_id", status.first_keyword(F.col("source"), T, ("the", "de")).alias("status"))
+    return d.select("doc_id", status.first_keyword(F.col("source"), T(), ("the", "de")).alias("status"))
 
 
 REASONS = "SELECT s_suppkey, CASE s_suppkey % 9 WHEN 0 THEN 'Repealed' WHEN 1 THEN 'Abolished' WHEN 2 THEN 'Not Fundeded' WHEN 3 THEN '' WHEN 4 THEN 'Expired, then omitted' WHEN 5 THEN 'Applicable 2027' WHEN 6 THEN 'Renumbered' WHEN 7 THEN 'Section  reserved ' ELSE 'Not applicable' END AS r FROM {supplier}"
@@ -361,7 +366,7 @@ def _(d):
 
 @query("f16_ruling_kind", DOCS, "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'Acquiescence Ruling' WHEN contains(left(lower(text), 2000), 'policy statement') THEN 'Policy Statement' ELSE 'Ruling' END AS kind FROM base")
 def _(d):
-    return d.select("doc_id", status.ruling_kind(T, F.when(F.col("doc_id") % 5 == 0, "AR").otherwise("SSR")).alias("kind"))
+    return d.select("doc_id", status.ruling_kind(T(), F.when(F.col("doc_id") % 5 == 0, "AR").otherwise("SSR")).alias("kind"))
 
 
 @query("f18_coverage_gate", "SELECT source, count(*) AS section_count, count(DISTINCT lang) AS langs FROM {documents} GROUP BY source", "SELECT source, section_count FROM base WHERE section_count >= 50 AND langs > 1")
@@ -382,12 +387,12 @@ def _(d):
 
 @query("f25_path_like", NODES, "SELECT s_suppkey FROM base WHERE node_id ILIKE '%chapter=3%'")
 def _(d):
-    return d.where(NODE.ilike("%chapter=3%")).select("s_suppkey")
+    return d.where(NODE().ilike("%chapter=3%")).select("s_suppkey")
 
 
 @query("f26_body_status", HEADS, "SELECT doc_id, CASE WHEN contains(left(text, 200), 'epealed by') THEN 'repealed' WHEN contains(left(text, 200), 'eserved') THEN 'reserved' ELSE 'in_force' END AS status FROM base")
 def _(d):
-    return d.select("doc_id", status.body_status(T, (("epealed by", "repealed"), ("eserved", "reserved"))).alias("status"))
+    return d.select("doc_id", status.body_status(T(), (("epealed by", "repealed"), ("eserved", "reserved"))).alias("status"))
 
 
 @query("f27_reserved_short", DOCS, "SELECT doc_id FROM base WHERE NOT (length(text) < 15 OR (doc_id % 4 = 0 AND length(text) < 300))")

@@ -27,13 +27,19 @@ def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "poin
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def timed(events: DataFrame) -> DataFrame:
+    """Watermarks need a timestamp with a zone; times without one are read in the session's zone."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Tumbling windows by event type, late rows dropped beyond the watermark; the same code for batch and stream."""
-    rows = events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type")
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
+    rows = timed(events).withWatermark("ts", late).groupBy(F.window("ts", width), "event_type")
+    rows = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return rows.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Sessions of a user that end after a gap."""
-    rows = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id")
-    return rows.agg(F.count(F.lit(1)).alias("n")).select("user_id", F.col("session_window.start").alias("start"), F.col("session_window.end").alias("stop"), "n")
+    rows = timed(events).withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("user_id", F.col("session_window.start").cast("timestamp_ntz").alias("start"), F.col("session_window.end").cast("timestamp_ntz").alias("stop"), "n")
