@@ -23,8 +23,19 @@ from pyspark.sql import functions as F
 from lexmill.llm._common import work_dir, written
 from lexmill.llm.shingles import _BASE, _BYTE, _INVERSE, mixed, powers
 
-#: Threshold and minimizer gram in bytes, windows of a block, bytes hashed at a time, documents named in a broadcast at most.
-WINDOW, GRAM, BLOCK, GROUP_BYTES, FEW = 400, 64, 32, 1 << 18, 500_000
+#: Threshold in bytes, bytes hashed at a time, documents named in a broadcast at most.
+WINDOW, GROUP_BYTES, FEW = 400, 1 << 18, 500_000
+
+
+def gram_of(window: int) -> int:
+    """Bytes of the minimizer gram of a window: 64 of 400."""
+    return max(1, window * 4 // 25)
+
+
+def block_of(window: int) -> int:
+    """Windows of a block: 32 of 400 bytes."""
+    return max(1, window * 2 // 25)
+
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
@@ -39,8 +50,9 @@ def hashed(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray, salt: np.ndarray |
     return mixed((sums[hi] - sums[lo]) * powers(_INVERSE, len(sums))[lo] + mixed((hi - lo).astype(np.uint64) + (salt << np.uint64(20)), 31), 32)
 
 
-def runs(pieces: list[bytes], window: int = WINDOW, gram: int = GRAM):
+def runs(pieces: list[bytes], window: int = WINDOW):
     """(prefix sums, piece, start in the buffer, windows, anchor in the buffer, piece starts) of the runs of windows with one minimizer."""
+    gram = gram_of(window)
     data = np.frombuffer(b"".join(pieces), np.uint8)
     first = np.cumsum([0, *map(len, pieces)])
     sums = prefix_sums(data)
@@ -94,7 +106,7 @@ def _runs_of(texts: list[bytes], window: int):
             row, at = (np.array([g[i] for g in group], np.int64) for i in (0, 1))
             offset = anchor - start
             hull = hashed(sums, start, start + n - 1 + window, offset)
-            yield row[piece], at[piece] + start - first[piece], n, offset, hashed(sums, anchor, anchor + GRAM, 1).view(np.int64), hull.view(np.int64)
+            yield row[piece], at[piece] + start - first[piece], n, offset, hashed(sums, anchor, anchor + gram_of(window), 1).view(np.int64), hull.view(np.int64)
 
 
 def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -153,18 +165,19 @@ def block_table(cells: DataFrame, window: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        size = block_of(window)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 n, o = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
                 sums, base = _contents(batch, 4)
-                low, high = (o - n + 1) // BLOCK, o // BLOCK
+                low, high = (o - n + 1) // size, o // size
                 many = high - low + 1
                 i = np.repeat(np.arange(len(n)), many)
                 q = np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many) + low[i]
-                lo, hi = o[i] - np.minimum(BLOCK * q + BLOCK - 1, o[i]), o[i] - np.maximum(BLOCK * q, o[i] - n[i] + 1)
-                left = base[i] + o[i] - BLOCK * q
-                core = hashed(sums, left, left - BLOCK + 1 + window, 2 + q)
+                lo, hi = o[i] - np.minimum(size * q + size - 1, o[i]), o[i] - np.maximum(size * q, o[i] - n[i] + 1)
+                left = base[i] + o[i] - size * q
+                core = hashed(sums, left, left - size + 1 + window, 2 + q)
                 union = hashed(sums, base[i] + lo, base[i] + hi + window, 1000 + (o[i] - lo))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i)), batch.column(1).take(pa.array(i)), pa.array(core.view(np.int64)), pa.array(union.view(np.int64)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["hull", "alone", "core", "union", "lo", "hi"])
 
