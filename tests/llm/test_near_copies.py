@@ -184,3 +184,19 @@ def distance(a, b):
     for i, x in enumerate(a):
         row = list(itertools.accumulate(range(len(b)), lambda left, j, row=row, i=i, x=x: min(left + 1, row[j + 1] + 1, row[j] + (x != b[j])), initial=i + 1))
     return row[-1]
+
+
+def test_middles_keep_the_distance(spark):
+    rnd = random.Random(6)
+    words = ["ab", "b", "abc", "", "c"]
+    pairs = []
+    while len(pairs) < 300:
+        a = [rnd.choice(words) for _ in range(rnd.randint(1, 7))]
+        b = list(a)
+        for _ in range(rnd.randint(1, 3)):
+            b[rnd.randrange(len(b)) : rnd.randrange(len(b)) + 1] = [rnd.choice(words) for _ in range(rnd.randint(0, 2))] or ["x"]
+        if " ".join(a) != " ".join(b):
+            pairs.append((" ".join(a), " ".join(b)))
+    df = spark.createDataFrame(pairs, "x string, y string")
+    a, b = line_dedup._middles("x", "y")
+    assert df.where(F.levenshtein("x", "y") != F.levenshtein(a, b)).collect() == []
