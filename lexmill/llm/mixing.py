@@ -2,10 +2,11 @@
 
 Every document draws an exponential key -ln(u) / quality, u from a hash of its id, so that
 the smallest keys of a source are a weighted sample without replacement. A source whose
-target exceeds its size is taken in complete epochs first; the rest is the prefix of the
-key order whose sizes come nearest to the remainder. The prefix is found by summing sizes
-over fixed bins of the key and ordering only the bin in which the budget ends, so the rows
-of a hot source never meet in one task. What is broadcast is a row per source.
+target exceeds its size is taken in complete epochs first; the rest is the longest prefix of
+the key order that the remainder holds, and the one document beyond it whose size comes
+nearest to what is then left. The prefix is found by summing sizes over fixed bins of the
+key and ordering only the bin in which the budget ends, so the rows of a hot source never
+meet in one task. What is broadcast is a row per source.
 """
 
 from __future__ import annotations
@@ -85,15 +86,23 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, s
     ends = ends.groupBy("src").agg(F.min(F.struct(F.col("bin__").alias("bin"), (F.col("upto") - F.col("n")).alias("before"), "remainder")).alias("e")).select("src", "e.*")
     last = slim.join(F.broadcast(ends) if len(total) <= MANY_SOURCES else ends, F.col("src__").eqNullSafe(F.col("src")) & (F.col("bin__") == F.col("bin")))
     order = Window.partitionBy("src__").orderBy("tie__").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = last.withColumn("upto", F.col("before") + F.sum("size").over(order)).where("upto - size / 2 <= remainder")
-    cut = ends.join(last.groupBy("src__").agg(F.max("tie__").alias("cut")), F.col("src__").eqNullSafe(F.col("src")), "left").select("src", "bin", "cut")
-    info = info.join(cut.withColumnRenamed("src", "src2"), F.col("src").eqNullSafe(F.col("src2")), "left").drop("src2")
+    last = last.withColumn("upto", F.col("before") + F.sum("size").over(order)).where("upto <= remainder")
+    cut = ends.join(last.groupBy("src__").agg(F.max("tie__").alias("cut"), F.max("upto").alias("got")), F.col("src__").eqNullSafe(F.col("src")), "left")
+    cut = cut.select(F.col("src").alias("src2"), "bin", "cut", (F.col("remainder") - F.coalesce("got", "before")).alias("gap"))
+    info = info.join(cut, F.col("src").eqNullSafe(F.col("src2")), "left").drop("src2")
     if len(total) <= MANY_SOURCES:
         info = F.broadcast(info)
 
     more = F.coalesce((F.col("bin__") < F.col("bin")) | ((F.col("bin__") == F.col("bin")) & (F.col("tie__") <= F.col("cut"))), F.lit(False))
-    out = rows.join(info, F.col("src__").eqNullSafe(F.col("src")), "left")
-    return out.withColumn("taken", F.col("size") * (F.col("epochs") + more.cast("int"))).drop("src__", "src", "epochs", "remainder", "bin", "cut", "key__", "bin__", "tie__")
+    beyond = slim.join(info.where("gap > 0"), F.col("src__").eqNullSafe(F.col("src"))).where(~more & (F.col("size") > 0))
+    beyond = beyond.withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("off < gap").groupBy("src__").agg(F.min(F.struct("off", "tie__")).alias("m"))
+    info = info.join(beyond.select(F.col("src__").alias("src2"), F.col("m.tie__").alias("one")), F.col("src").eqNullSafe(F.col("src2")), "left").drop("src2", "gap")
+    if len(total) <= MANY_SOURCES:
+        info = F.broadcast(info)
+    own = {c: f"i_{c}__" for c in ("src", "epochs", "remainder", "bin", "cut", "one")}  # beside whatever columns docs have
+    more = F.coalesce((F.col("bin__") < F.col(own["bin"])) | ((F.col("bin__") == F.col(own["bin"])) & (F.col("tie__") <= F.col(own["cut"]))), F.lit(False)) | F.coalesce(F.col("tie__") == F.col(own["one"]), F.lit(False))
+    out = rows.join(info.withColumnsRenamed(own), F.col("src__").eqNullSafe(F.col(own["src"])), "left")
+    return out.withColumn("taken", F.col("size") * (F.col(own["epochs"]) + more.cast("int"))).drop("src__", "key__", "bin__", "tie__", *own.values())
 
 
 def mixed_digest(docs: DataFrame) -> DataFrame:
@@ -128,5 +137,13 @@ WITH d AS (
     sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS upto
   FROM k JOIN r ON k.source IS NOT DISTINCT FROM r.source
 )
-SELECT doc_id, size, n AS source_size, target, (size * (epochs + CASE WHEN rest > 0 AND epochs < 3 AND upto - size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM p
+, q AS (
+  SELECT *, epochs < 3 AND rest > 0 AND upto <= rest AS chosen FROM p
+), h AS (
+  SELECT source, rest - coalesce(max(upto) FILTER (chosen), 0) AS gap FROM q GROUP BY source, rest
+), x AS (
+  SELECT q.source, arg_min(doc_id, (abs(size - gap), key, doc_id)) AS one FROM q JOIN h ON q.source IS NOT DISTINCT FROM h.source
+  WHERE NOT chosen AND size > 0 AND epochs < 3 AND abs(size - gap) < gap GROUP BY q.source
+)
+SELECT doc_id, size, n AS source_size, target, (size * (epochs + CASE WHEN chosen OR doc_id = one THEN 1 ELSE 0 END))::BIGINT AS taken FROM q LEFT JOIN x ON q.source IS NOT DISTINCT FROM x.source
 """

@@ -147,7 +147,7 @@ def test_targets():
 
 
 def test_mixing(spark, docs, corpus, monkeypatch):
-    got = mixing.mix(docs.withColumn("taken", F.lit("clash"))).collect()
+    got = mixing.mix(docs.withColumn("taken", F.lit("clash")).withColumn("bin", F.lit(1)).withColumn("src", F.lit(1))).collect()
     assert len(got) == len(corpus)
     size = Counter()
     for _, t, _, s, _ in corpus:
@@ -235,13 +235,15 @@ def test_score_is_the_mean_of_ratios(spark, docs, corpus):
 def test_pipeline(spark, tmp_path, corpus, docs):
     import corpus_pipeline
 
-    rows = docs.where("doc_id is not null")
+    clash = ("size", "taken", "lang_pred", "score", "held_out", "n_lines", "gone", "bin", "cut", "key__", "others__", "component_id")
+    rows = docs.where("doc_id is not null").withColumns({c: F.lit("kept") for c in clash})
     rows.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     stage, seen = rows, {}
     for name, f in corpus_pipeline.STAGES:
         out = f(spark, stage, str(tmp_path))
         if name != "packed":
-            assert out.columns == SCHEMA.replace(" bigint", "").replace(" string", "").split(", ")
+            assert out.columns == [*SCHEMA.replace(" bigint", "").replace(" string", "").split(", "), *clash]
+            assert out.where("taken <> 'kept' or gone <> 'kept'").isEmpty()
         path = str(tmp_path / name)
         out.write.parquet(path)
         stage = seen[name] = spark.read.parquet(path)
@@ -256,6 +258,12 @@ def test_pipeline(spark, tmp_path, corpus, docs):
     for r in seen["packed"].collect():
         lengths[r.doc_id] += r.length
     assert set(lengths) == set(mixed)
+    none = rows.limit(0)
+    for name, f in corpus_pipeline.STAGES:
+        none = f(spark, none, str(tmp_path))
+        assert none.count() == 0
+        if name == "mixture":
+            break
     whole = corpus_pipeline.run(spark, str(tmp_path))
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert whole.select(*key).exceptAll(seen["packed"].select(*key)).isEmpty() and whole.count() == seen["packed"].count()
