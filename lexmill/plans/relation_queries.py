@@ -271,9 +271,9 @@ def _(d):
     return rows.upsert(target, d.where("l_orderkey % 3 = 0").select("l_orderkey", F.lit(1).alias("l_linenumber"), F.lit(True).alias("fresh")).distinct(), "l_orderkey")
 
 
-@query("k06_last_wins", "SELECT event_id, user_id, value FROM {events}", "SELECT user_id, max(event_id) AS event_id, count(*) > 0 AS some FROM base GROUP BY 1")
+@query("k06_last_wins", "SELECT event_id, user_id, value FROM {events}", "SELECT user_id, max(event_id) AS event_id, count(*) > 0 AS fresh FROM base GROUP BY 1")
 def _(d):
-    return rows.keep_last(d, ["user_id"], "event_id").select("user_id", "event_id", F.lit(True).alias("some"))
+    return rows.keep_last(d, ["user_id"], "event_id").select("user_id", "event_id", F.lit(True).alias("fresh"))
 
 
 @query("g08_reconcile", "SELECT l_orderkey, l_linenumber, concat(l_orderkey, '-', l_linenumber) AS point_id FROM {lineitem}", "SELECT point_id FROM base WHERE l_orderkey % 2 = 0 AND l_linenumber > 2 AND l_orderkey IN (SELECT l_orderkey FROM base WHERE l_linenumber <= 2)")
