@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import extract
 
+# Fixed patterns of status markers at the head of a text.
 REPEALED = r"(?i)^\s*(?:\[Repealed[\]\s]|\(Repealed\s+by\b|Repealed\s*\.(?:\s|$)|Repealed\s+by\b)"
 RESERVED = r"(?i)^\s*(?:\[Reserved\]|Reserved\s*\.(?:\s|$))"
 
