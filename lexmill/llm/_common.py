@@ -25,7 +25,7 @@ def work_dir(spark: SparkSession) -> str:
     shipped(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = getattr(work_dir, "base", None)
         if base is None:
