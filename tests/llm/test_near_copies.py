@@ -198,5 +198,6 @@ def test_middles_keep_the_distance(spark):
         if " ".join(a) != " ".join(b):
             pairs.append((" ".join(a), " ".join(b)))
     df = spark.createDataFrame(pairs, "x string, y string")
-    a, b = line_dedup._middles("x", "y")
-    assert df.where(F.levenshtein("x", "y") != F.levenshtein(a, b)).collect() == []
+    cut = line_dedup._middles(df, "x", "y")
+    assert cut.where(F.levenshtein("x", "y") != F.levenshtein("a_mid", "b_mid")).collect() == []
+    assert cut.where(F.length("a_mid") < F.length("x")).count() > 100
