@@ -80,12 +80,12 @@ def packed_bits(codes: np.ndarray, lengths: np.ndarray, at: np.ndarray, n_bytes:
     """The codes written at the given ascending bit offsets."""
     words = np.zeros(n_bytes // 8 + 2, np.uint64)
     if len(codes):
-        word, shift = at >> 6, 64 - (at & 63) - lengths
-        over = shift < 0
-        high = np.where(over, codes >> np.where(over, -shift, 0).astype(np.uint64), codes << np.where(over, 0, shift).astype(np.uint64))
+        word, into = at >> 6, at & 63
+        left = codes << (64 - lengths).view(np.uint64)
         first = np.flatnonzero(np.diff(word, prepend=-1))
-        words[word[first]] = np.add.reduceat(high, first)
-        words[word[over] + 1] |= codes[over] << (64 + shift[over]).astype(np.uint64)
+        words[word[first]] = np.add.reduceat(left >> into.view(np.uint64), first)
+        over = np.flatnonzero(into + lengths > 64)
+        words[word[over] + 1] |= left[over] << (64 - into[over]).view(np.uint64)
     return words.byteswap().tobytes()[:n_bytes]
 
 
