@@ -101,10 +101,28 @@ def _cite(**fields: Column) -> Column:
     return F.struct(*[fields.get(n, F.lit(None)).cast(t).alias(n) for n, t in names])
 
 
+def authority_text(c: Column) -> Column:
+    """An authority string with one kind of dash and blank, `et seq.` as a comma, explanatory notes cut off."""
+    t = F.trim(F.regexp_replace(F.translate(c, " –—", "---"), r"(?U)\s+", " "))
+    t = F.when(F.contains(F.lower(t), F.lit("seq")), F.regexp_replace(t, r"(?i)\s+et\s+seq\.?\s*,?", ",")).otherwise(t)
+    return F.when(t.rlike(NOTES), F.split(t, NOTES, 2)[0]).otherwise(t)
+
+
+def usc_keys(c: Column) -> Column:
+    """`title:section` of every U.S.C. section that an authority string cites; for indexes, which need no other type."""
+    t = authority_text(c)
+
+    def keys(title: Column, sections: Column) -> Column:
+        one = F.array(F.regexp_replace(sections, r"[,;. ]+$", ""))
+        each = F.when(sections.rlike(r"[^\w.]"), enumerated(sections)).otherwise(one)  # most cite one section
+        return F.transform(each, lambda s: F.concat(title.cast("int").cast("string"), F.lit(":"), s))
+
+    return F.array_distinct(F.flatten(F.zip_with(extract_all(t, AUTHORITY_USC, 1), extract_all(t, AUTHORITY_USC, 2), keys)))
+
+
 def authority(c: Column) -> Column:
     """T-07: citations of an authority string by type (U.S.C., E.O., FR, Pub. L., Stat., CFR), the first of each display."""
-    t = F.trim(F.regexp_replace(F.translate(c, " –—", "---"), r"(?U)\s+", " "))
-    t = F.split(F.regexp_replace(t, r"(?i)\s+et\s+seq\.?\s*,?", ","), NOTES, 2)[0]
+    t = authority_text(c)
     usc = F.flatten(F.zip_with(extract_all(t, AUTHORITY_USC, 1), extract_all(t, AUTHORITY_USC, 2), lambda n, s: F.transform(enumerated(s), lambda x: _cite(type=F.lit("usc"), title=n, section=x, display=F.concat(n.cast("int").cast("string"), F.lit(" U.S.C. "), x)))))
     orders = F.transform(extract_all(t, ORDER, 1), lambda n: _cite(type=F.lit("executive_order"), number=n, display=F.concat(F.lit("E.O. "), n)))
     registers = F.zip_with(extract_all(t, REGISTER, 1), extract_all(t, REGISTER, 2), lambda v, p: _cite(type=F.lit("federal_register"), volume=v, page=p, display=F.concat(v, F.lit(" FR "), p)))

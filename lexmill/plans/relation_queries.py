@@ -83,8 +83,8 @@ def _(d):
 
 # Cross-linking: the flagship, from authority strings to the regulations of each section.
 def usc_cites(d):
-    c = d.select("cfr_title", "part", "part_name", F.explode(cites.authority(F.col("authority"))).alias("c")).where("c.type = 'usc'")
-    return c.select(F.concat_ws(":", F.col("c.title").cast("string"), "c.section").alias("usc_key"), "cfr_title", "part", "part_name")
+    parts = d.select("cfr_title", "part", "part_name", "authority").distinct()  # the sections of a part repeat its authority
+    return parts.select(F.explode(cites.usc_keys(F.col("authority"))).alias("usc_key"), "cfr_title", "part", "part_name")
 
 
 @query("a01_reverse_index", AUTHORITY, "SELECT concat(l_linenumber, ':', split_part(authority, 'U.S.C. ', 2)) AS usc_key, count(DISTINCT (cfr_title, part, part_name))::INTEGER AS n, min((cfr_title, part))[2] AS first_part FROM base GROUP BY 1")

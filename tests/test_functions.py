@@ -80,6 +80,9 @@ def test_authority(spark):
     assert [x.type for x in got] == ["usc", "executive_order", "federal_register", "cfr"]
     assert got[3].ref == "1954-1958 Comp., p. 189" and got[0].display == "44 U.S.C. 1506"
     assert [x.section for x in value(spark, cites.authority(S()), s="15 U.S.C. 78a et seq., 78c, 78d")] == ["78a", "78c", "78d"]
+    raw = "15 U.S.C. 78a et seq., 78c, 78d; 44 U.S.C. 1506-1508 and 1510; 5 U.S.C. 552."
+    keys = value(spark, cites.usc_keys(S()), s=raw)
+    assert keys == [f"{x.title}:{x.section}" for x in value(spark, cites.authority(S()), s=raw)] and "44:1507" in keys and keys[-1] == "5:552"
     assert value(spark, cites.authority(S()), s="44 U.S.C. 1506") == []
 
 
