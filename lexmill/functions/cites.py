@@ -144,18 +144,20 @@ def source_credit(c: Column) -> Column:
     law, old, act = r"(?i)Pub\.\s*L\.\s*(\d+)[\-–](\d+)", r"(?i)\bR\.?\s*S\.?\s*§\s*(\d+)", r"(?i)(?:Act\s+(?:of\s+)?)?((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)[a-z\.]*\s+\d{1,2},\s+\d{4})[^;]*?ch\.\s*\d+"
     stat, section, title, chapter = r"\b(\d+)\s+Stat\.\s+(\d+)\b", r"§\s*(\d[\w\.\-]*(?:\([\w\.\-]+\))*)", r"(?i)\btitle\s+([IVXLCDM]+)\b", r"\bch\.\s*(\d+\w*)"
 
-    def one(s: Column) -> Column:
-        kind = F.when(s.rlike(old) & ~s.rlike(law), "revised_statutes").when(s.rlike(law), "public_law").when(s.rlike(act), "act").otherwise("other")
-        dated = kind.isin("public_law", "act")
-        volume, page = (F.when(dated, extract(s, stat, g)) for g in (1, 2))
+    first = lambda s, p, g=1: present(F.regexp_extract(s, p, g))
+    kind = lambda s: F.when(s.rlike(law), "public_law").when(s.rlike(old), "revised_statutes").when(s.rlike(act), "act").otherwise("other")
+
+    def one(x: Column) -> Column:
+        s, k = x["s"], x["kind"]
+        public, dated = k == "public_law", k.isin("public_law", "act")
         return F.struct(
-            kind.alias("type"), F.when(kind == "public_law", extract(s, law, 1)).cast("int").alias("congress"), F.when(kind == "public_law", extract(s, law, 2)).cast("int").alias("law"),
-            F.when(dated, present(iso_date(s))).alias("date"), F.when(kind == "act", extract(s, act, 1)).alias("date_text"), volume.cast("int").alias("stat_volume"), page.cast("int").alias("stat_page"),
-            F.when(kind == "public_law", F.upper(extract(s, title))).alias("title_roman"), F.when(kind == "public_law", extract(s, section)).when(kind == "revised_statutes", extract(s, old)).alias("section"),
-            F.when(kind == "act", extract(s, chapter)).alias("chapter"), F.when(kind == "revised_statutes", F.concat(F.lit("R.S. §"), extract(s, old))).otherwise(s).alias("display"),
+            k.alias("type"), F.when(public, first(s, law)).cast("int").alias("congress"), F.when(public, first(s, law, 2)).cast("int").alias("law"),
+            F.when(dated, present(iso_date(s))).alias("date"), F.when(k == "act", first(s, act)).alias("date_text"), F.when(dated, first(s, stat)).cast("int").alias("stat_volume"), F.when(dated, first(s, stat, 2)).cast("int").alias("stat_page"),
+            F.when(public, F.upper(first(s, title))).alias("title_roman"), F.when(public, first(s, section)).when(k == "revised_statutes", first(s, old)).alias("section"),
+            F.when(k == "act", first(s, chapter)).alias("chapter"), F.when(k == "revised_statutes", F.concat(F.lit("R.S. §"), first(s, old))).otherwise(s).alias("display"),
         )
 
-    return F.transform(segments, one)
+    return F.transform(F.transform(segments, lambda s: F.struct(kind(s).alias("kind"), s.alias("s"))), one)
 
 
 def washington_history(c: Column) -> Column:
