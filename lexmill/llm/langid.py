@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS, ORDERS, GROUP_CHARS, SMOOTHING = 1 << 16, (1, 2, 3), 500_000, 0.5
+BUCKETS, ORDERS, GROUP_CHARS, SMOOTHING = 1 << 16, (1, 2, 3), 250_000, 0.5
 UNKNOWN = "und"
 
 

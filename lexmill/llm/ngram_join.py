@@ -189,7 +189,7 @@ def pair_counts(sets: list[np.ndarray]) -> np.ndarray:
     for n in np.unique(length[length > 1]):
         start = edge[:-1][length == n]
         x, y = np.triu_indices(n, 1)
-        step = max(1, 2_000_000 // len(x))
+        step = max(1, 500_000 // len(x))
         for lo in range(0, len(start), step):
             m = own[start[lo : lo + step, None] + np.arange(n)]
             out += np.bincount((m[:, x] * d + m[:, y]).ravel(), minlength=d * d)

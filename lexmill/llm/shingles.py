@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 400_000
 _BASE, _FOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _powers: dict[int, np.ndarray] = {}
@@ -28,7 +28,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """At least the first n powers of the base, by 64-bit arithmetic."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        grown = np.full(max(n, 1 << 20, 2 * (0 if have is None else len(have))), base, np.uint64)
+        grown = np.full(max(n, 1 << 19), base, np.uint64)
         grown[0] = 1
         have = _powers[int(base)] = np.cumprod(grown)
     return have

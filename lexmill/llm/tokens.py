@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 #: Entries of each of a worker's two caches, the longest part kept, and characters cut at a time.
-CACHE_WORDS, CACHE_CHARS, GROUP_CHARS = 900_000, 64, 6_000_000
+CACHE_WORDS, CACHE_CHARS, GROUP_CHARS = 600_000, 64, 4_000_000
 #: Characters beyond ASCII without U+001C to U+001F and the Latin-1 letters.
 OTHER = re.compile("[^\x00-\x1b -~\xc0-\xd6\xd8-\xf6\xf8-\xff]")
 #: Classes of bytes: blank 0, letter 1 (with all bytes of Latin-1 letters), digit 2, other 3, apostrophe 4.
