@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lexmill.session import shipped
 
@@ -42,26 +41,6 @@ def written(df: DataFrame, folder: str, name: str, codec: str = "zstd") -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dropped(spark: SparkSession, folder: str, name: str) -> None:
-    """Remove a written table that no later plan reads."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def small(df: DataFrame, rows: int) -> bool:
-    """Whether df has at most so many rows; reads no more than that."""
-    return len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows if rows < 1000 else df.count() <= rows
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def flat(batch_sizes: list[int]):
-    """Start offsets of consecutive pieces of the given sizes."""
-    import numpy as np
-
-    out = np.zeros(len(batch_sizes) + 1, dtype=np.int64)
-    np.cumsum(batch_sizes, out=out[1:])
-    return out
