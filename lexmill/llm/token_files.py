@@ -125,44 +125,32 @@ def decoded(payload: bytes, offsets: np.ndarray, counts: np.ndarray, table: np.n
 
 
 def id_table(docs: DataFrame, file: str, end_id: int = 0) -> DataFrame:
-    """(doc_id, ids binary): ids of the whole text and the end id, unsigned 16-bit if the vocabulary allows it, else 32-bit."""
+    """(doc_id, ids binary, width, id, n): a row a document, ids of the whole text and the end id, unsigned of width bytes
+    (2 if the vocabulary allows it, else 4); and, with width 0, how often each task met each id."""
 
     def run(batches):
         import pyarrow as pa
 
         encode = encoder(file)
-        wide = encode.tokenizer.get_vocab_size() > 1 << 16
+        width = 4 if encode.tokenizer.get_vocab_size() > 1 << 16 else 2
         end = np.array([end_id], "<u4").tobytes()
+        names = ["doc_id", "ids", "width", "id", "n"]
+        total = np.zeros(0, np.int64)
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
             for lo in range(0, batch.num_rows, 2000):
                 ids = [x + end for x in encode(texts[lo : lo + 2000].to_pylist())]
-                if not wide:
-                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-                yield pa.RecordBatch.from_arrays([doc_ids[lo : lo + 2000], pa.array(ids, pa.binary()), pa.array([4 if wide else 2] * len(ids), pa.int32())], names=["doc_id", "ids", "width"])
-
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, ids binary, width int")
-
-
-def id_counts(table: DataFrame) -> DataFrame:
-    """(id, n) over the whole table; each task sends a row per id that it met."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        forget()
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            width = batch.column(1)[0].as_py() if batch.num_rows else 2
-            data = b"".join(x for x in batch.column(0).to_pylist())
-            got = np.bincount(np.frombuffer(data, f"<u{width}"))
-            if len(got) > len(total):
-                total = np.pad(total, (0, len(got) - len(total)))
-            total[: len(got)] += got
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
+                flat = np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}")
+                got = np.bincount(flat, minlength=len(total))
+                got[: len(total)] += total
+                total, data = got, flat.tobytes()
+                edge = (np.cumsum([0, *map(len, ids)]) // (4 // width)).tolist()
+                ids = [data[x:y] for x, y in zip(edge, edge[1:])]
+                yield pa.RecordBatch.from_arrays([doc_ids[lo : lo + 2000], pa.array(ids, pa.binary()), pa.array([width] * len(ids), pa.int32()), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64())], names=names)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(met), pa.int64()), pa.nulls(len(met), pa.binary()), pa.array([0] * len(met), pa.int32()), pa.array(met, pa.int64()), pa.array(total[met], pa.int64())], names=names)
 
-    return table.select("ids", "width").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, ids binary, width int, id bigint, n bigint")
 
 
 SEGMENT = "part int, segment int, start bigint, n_ids bigint, doc_ids binary, known binary, counts binary, block_at binary, block_n binary, payload binary"
@@ -177,7 +165,8 @@ def write_ids(docs: DataFrame, file: str, end_id: int = 0, folder: str | None =
     spark = docs.sparkSession
     folder = folder or work_dir(spark)
     table = written(id_table(docs, file, end_id), folder, "ids")
-    counted = id_counts(table).toPandas()  # at most one row per id of the vocabulary
+    counted = table.where("width = 0").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # at most one row per id of the vocabulary
+    table = table.where("width > 0").select("doc_id", "ids", "width")
     symbols = counted["id"].to_numpy(np.int64)
     book = spark.createDataFrame([(int(s), int(n)) for s, n in zip(symbols, limited_lengths(counted["n"].to_numpy()))], "id int, bits int")
     book = written(book.coalesce(1), folder, "book")
