@@ -278,3 +278,11 @@ def test_oracles(spark, duck, sf_dir):
         columns = sorted(df.columns)
         assert sorted(duck.sql(sql).columns) == columns
         assert rows(df.select(*columns).collect()) == rows(duck.sql(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall())
+
+
+def test_empty_tables(empty):
+    assert packing.packed_digest(empty, public_file(FILES[1])).count() == 0
+    assert token_files.ids_digest(empty, public_file(FILES[0])).count() == 0
+    assert langid.language_digest(empty).count() == 0
+    assert mixing.mixed_digest(empty).count() == 0
+    assert secret_scan.secrets_digest(empty).count() == 0
