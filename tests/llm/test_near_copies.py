@@ -169,6 +169,38 @@ def test_lines(spark):
     assert {r.doc_id: r.n_removed for r in got if r.doc_id is not None} == {i: sum(p[0] == i for p in gone) for i, _ in docs if i is not None}
 
 
+def removed(spark, docs):
+    return {r.doc_id: (r.text, r.n_removed) for r in line_dedup.without_repeated_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+
+
+def test_lines_equal_all_pairs(spark, duck):
+    """Lines of 1 to 200 words with one word replaced, and short ones with scattered edits, against every pair's edit similarity."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choices(string.ascii_lowercase, k=rnd.randint(2, 9)))
+    lines = []
+    for n in (1, 2, 3, 4, 5, 6, 8, 10, 20, 50, 200):
+        for _ in range(8):
+            own = [word() for _ in range(n)]
+            lines.append(" ".join(own))
+            own[rnd.randrange(n)] = word()
+            lines.append(" ".join(own))
+    for n in range(9, 60):
+        own = rnd.choices("ab cd", k=n)
+        lines.append("".join(own))
+        for at in range(rnd.randrange(10), n, 10):
+            own[at] = rnd.choice(["", "x", own[at] + "y"])
+        lines.append("".join(own))
+    lines += ["".join(rnd.choices(string.ascii_lowercase, k=300))]
+    lines += [lines[-1][:100] + "Z" + lines[-1][100:], lines[0], "read more", "Read more!"]
+    rnd.shuffle(lines)
+    forms = [x.lower().replace("!", "") for x in lines]
+    duck.execute("CREATE OR REPLACE TEMP TABLE near AS SELECT unnest(?) AS line, generate_subscripts(?, 1) - 1 AS i", [forms, forms])
+    links = duck.sql("SELECT a.i, b.i FROM near a JOIN near b ON a.i < b.i WHERE trim(a.line) <> '' AND trim(b.line) <> '' AND 10 * levenshtein(a.line, b.line) <= greatest(length(a.line), length(b.line))").fetchall()
+    group = components(range(len(forms)), links)
+    got = removed(spark, list(enumerate(lines)))
+    assert {i for i in got if got[i][1]} == {i for i, top in group.items() if i != top}
+
+
 def simhashes(forms):
     import xxhash
 
