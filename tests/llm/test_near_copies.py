@@ -201,6 +201,11 @@ def test_lines_equal_all_pairs(spark, duck):
     assert {i for i in got if got[i][1]} == {i for i, top in group.items() if i != top}
 
 
+def test_repeats_of_short_lines_go(spark):
+    got = removed(spark, [(1, "Read more\nno no no no no no\nx\n\n!!"), (2, "read more.\nNo no no no no no\n\n!!\nX\nnew"), (3, "read more")])
+    assert got == {1: ("Read more\nno no no no no no\nx\n\n!!", 0), 2: ("\n!!\nnew", 3), 3: ("", 1)}
+
+
 def simhashes(forms):
     import xxhash
 
