@@ -4,7 +4,7 @@ Both vocabularies split a text before merging and never merge across the split,
 part may be encoded apart. Texts of ASCII and Latin letters are cut, as one buffer of bytes,
 where the class of character changes; equal parts are numbered by Arrow, each distinct part
 is looked up in the worker's cache or encoded by the tokenizers library, and the ids are
-gathered in numpy. Other texts are encoded whole.
+gathered in numpy. Other texts, and those with the string of an added token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]  # found anywhere in a text
         self.lower = "Lowercase" in str(self.tokenizer.normalizer)
         # Many words are encoded as one text: byte-level files give the line ends between them an id
         # of their own, the others mark the last id of a word.
@@ -77,7 +77,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if OTHER.search(text):
+            if OTHER.search(text) or any(t in text for t in self.added):
                 out[i] = self.whole([text])[0]
                 continue
             group.append(i)

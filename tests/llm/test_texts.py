@@ -36,6 +36,19 @@ def test_encoder_equals_the_library(name, corpus):
     assert np.frombuffer(e(["Some words, here."])[0], "<u4").tolist() == plain_ids(name, "Some words, here.")
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_added_tokens_have_their_ids(spark, name):
+    from tokenizers import Tokenizer
+
+    texts = ["<|endoftext|>", "one <|endoftext|> two<|startoftext|>three", "<|EndOfText|> <|endoftext", "é中<|endoftext|>", "plain words"]
+    plain = Tokenizer.from_file(public_file(name))
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(public_file(name))(texts)] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = packing.packed_digest(docs, public_file(name)).collect() if name == FILES[1] else token_files.ids_digest(docs, public_file(name)).collect()
+    assert {r.doc_id: r.ids_crc32 for r in got} == {i: zlib.crc32(np.array(x + [FILES.index(name)], "<u4").tobytes()) for i, x in enumerate(want)}
+
+
 def test_packing(docs, corpus):
     cap = 64
     pieces, placed = packing.best_fit_pack(docs.withColumn("offset", F.lit(1)).withColumn("part", F.lit("x")), public_file(FILES[1]), cap)
