@@ -282,6 +282,16 @@ def test_pipeline(spark, tmp_path, corpus, docs):
     assert whole.select(*key).exceptAll(seen["packed"].select(*key)).isEmpty() and whole.count() == seen["packed"].count()
 
 
+def test_near_copies_by_row(spark):
+    """Null and repeated ids: one row of each group of copies stays, and no clean text goes."""
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (5, d), (5, d), (6, ""), (None, "")]
+    out = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert Counter(map(tuple, out.collect())) == Counter([(1, a), (2, b), (None, c), (5, d), (6, ""), (None, "")])
+
+
 def test_oracles(spark, duck, sf_dir):
     from lexmill.llm.queries import ORACLE, QUERIES
     from tests.test_queries import rows
