@@ -144,14 +144,15 @@ def terms_in(texts: DataFrame, terms: DataFrame, doc: str, text: str, term: str)
     return tokens.join(terms.select(F.col(term), F.lower(term).alias("w__")).distinct(), "w__").select(doc, term)
 
 
-def reachable(edges: DataFrame, start: DataFrame, limit: int = 20) -> DataFrame:
-    """H-08: nodes by the number of steps from the start, breadth first, each once."""
-    spark = edges.sparkSession
-    return spark.sql(
-        f"""WITH RECURSIVE walk(node, depth) AS (
-              SELECT node, 0 FROM {{start}} UNION ALL
-              SELECT e.dst, w.depth + 1 FROM walk w JOIN {{edges}} e ON e.src = w.node WHERE w.depth < {limit})
-            SELECT node, min(depth) AS depth FROM walk GROUP BY node""",
-        start=start,
-        edges=edges,
-    )
+def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """H-08: nodes by the number of steps from the start, breadth first, each once, until a step finds no new node."""
+    from lexmill.llm._common import work_dir, written
+
+    folder, depth = work_dir(edges.sparkSession), 0
+    seen = last = written(start.select("node").distinct().withColumn("depth", F.lit(0)), folder, "0")
+    while not last.isEmpty():
+        depth += 1
+        found = last.join(edges, F.col("src") == F.col("node")).select(F.col("dst").alias("node")).where("node is not null").distinct()
+        last = written(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)), folder, str(depth))
+        seen = seen.unionByName(last)
+    return seen

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from lexmill.functions.text import collapse, extract, first_present
 
 
-def law_leaves(laws: DataFrame, law: str, tree: str, depth: int = 12) -> DataFrame:
+def law_leaves(laws: DataFrame, law: str, tree: str) -> DataFrame:
     """S-22: (law, type, location, title, text, path) of a JSON tree's leaves.
 
     Subtrees marked repealed are left out; a container without children that has a text is a
-    leaf itself. Level by level: a recursive query over the items of each node.
+    leaf itself. Level by level: a recursive query over the items of each node, which raises beyond
+    spark.sql.cteRecursionLevelLimit levels.
     """
     return laws.sparkSession.sql(
         f"""WITH RECURSIVE walk(law, node, path, depth) AS (
@@ -20,7 +21,7 @@ def law_leaves(laws: DataFrame, law: str, tree: str, depth: int = 12) -> DataFra
               UNION ALL
               SELECT law, item, concat(path, '/', coalesce(get_json_object(node, '$.docLevelId'), '')), depth + 1
               FROM (SELECT law, path, depth, node, explode(from_json(get_json_object(node, '$.documents.items'), 'array<string>')) AS item FROM walk
-                    WHERE depth < {depth} AND coalesce(get_json_object(node, '$.repealed'), 'false') <> 'true' AND coalesce(get_json_object(node, '$.docType'), '') NOT IN ('SECTION', 'RULE')))
+                    WHERE coalesce(get_json_object(node, '$.repealed'), 'false') <> 'true' AND coalesce(get_json_object(node, '$.docType'), '') NOT IN ('SECTION', 'RULE')))
             SELECT law, get_json_object(node, '$.docType') AS type, coalesce(get_json_object(node, '$.locationId'), get_json_object(node, '$.docLevelId'), '') AS location,
               trim(coalesce(get_json_object(node, '$.title'), '')) AS title, trim(get_json_object(node, '$.text')) AS text, path
             FROM walk WHERE coalesce(get_json_object(node, '$.repealed'), 'false') <> 'true' AND trim(coalesce(get_json_object(node, '$.text'), '')) <> ''

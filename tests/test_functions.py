@@ -132,3 +132,18 @@ def test_payload(spark):
     assert value(spark, payload.canonical(fields), s='{"history_notes": "a", "history": "b"}') == {"history": "b"}
     assert value(spark, payload.canonical(fields), s='{"history_note_raw": "c"}') == {"history": "c"}
     assert value(spark, payload.with_defaults(fields), s='{"jurisdiction": ""}') == {"jurisdiction": "US", "country_code": "US"}
+
+
+def test_walks_go_on_until_nothing_is_left(spark):
+    import json
+
+    from lexmill.operators import rows, trees
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(24)] + [(3, 1), (5, None)], "src bigint, dst bigint")
+    got = rows.reachable(edges, spark.range(1).withColumnRenamed("id", "node")).collect()
+    assert sorted(map(tuple, got)) == [(i, i) for i in range(25)]
+    node = {"docType": "SECTION", "docLevelId": "s", "text": "deep"}
+    for i in range(15):
+        node = {"docType": "CHAPTER", "docLevelId": f"c{i}", "documents": {"items": [node]}}
+    leaves = trees.law_leaves(spark.createDataFrame([("L", json.dumps({"documents": node}))], "law string, tree string"), "law", "tree").collect()
+    assert [r.text for r in leaves] == ["deep"]
