@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from lexmill.llm._common import work_dir, written
 from lexmill.llm.components import connected_components
+from lexmill.llm.sketch import CHUNKS, COUNTERS, chunks, counted, crowding
 from lexmill.llm.shingles import grouped, mixed, set_id, shingle_sets
 
-#: Counters of the sketch and the rows it is sent in; documents named in a broadcast at most.
-COUNTERS, CHUNKS, FEW = 1 << 18, 64, 500_000
+#: Documents named in a broadcast at most.
+FEW = 500_000
 #: Prefixes are longer by this percentage of the set, and linked sets then share as many tokens more.
 MORE = 10
 #: Tokens and classes of a block, and visitors compared with it at a time.
@@ -61,34 +62,14 @@ def named_sets(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
                 sets = shingle_sets(group, words)
                 n += [len(s) for s in sets]
                 cls += [set_id(s) if len(s) else None for s in sets]
-                sketch += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+                sketch += counted(np.concatenate(sets))
             columns = ([0] * len(n), batch.column(0), n, cls, [None] * len(n))
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)], names=names)
-        parts = [x.tobytes() for x in np.minimum(sketch, 2**31 - 1).astype("<i4").reshape(CHUNKS, -1)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([1] * CHUNKS, range(CHUNKS), [0] * CHUNKS, [None] * CHUNKS, parts), types)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([1] * CHUNKS, range(CHUNKS), [0] * CHUNKS, [None] * CHUNKS, chunks(sketch)), types)], names=names)
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col(text).cast("string")).mapInArrow(run, "kind int, doc_id bigint, n bigint, cls bigint, counters binary")
 
 
-def crowding(named: DataFrame) -> np.ndarray:
-    """For each counter, twice the logarithm of its ratio to the mean: 0 for most. Any value gives a valid order."""
-
-    def add(batches):
-        import pyarrow as pa
-
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[chunk] = total.get(chunk, 0) + np.frombuffer(data, "<i4").astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([x.astype("<i8").tobytes() for x in total.values()], pa.binary())], names=["chunk", "counters"])
-
-    rows = named.where("kind = 1").select("doc_id", "counters").repartition(CHUNKS, "doc_id").mapInArrow(add, "chunk bigint, counters binary").collect()  # COUNTERS numbers
-    sketch = np.zeros((CHUNKS, COUNTERS // CHUNKS))
-    for r in rows:
-        sketch[r.chunk] += np.frombuffer(r.counters, "<i8")
-    return np.clip(2 * np.log2((sketch + 1) / (sketch.mean() + 1)), 0, 15).astype(np.uint8).ravel()
-
-
 def prefixes(docs: DataFrame, order, words: int, percent: int, text: str = "text") -> DataFrame:
     """(token, cls, n) of the prefix of each document's set under the first order; repeats of a set within a task are left out."""
 
@@ -306,7 +287,7 @@ def similar_classes(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     docs = docs.where("doc_id is not null")
     named = written(named_sets(docs, words, text), folder, "named")
     rows = named.where("kind = 0").select("doc_id", "n", "cls")
-    order = spark.sparkContext.broadcast(crowding(named))  # COUNTERS bytes
+    order = spark.sparkContext.broadcast(crowding(named.where("kind = 1").select(F.col("doc_id").alias("chunk"), "counters")))  # COUNTERS bytes
     shared = written(shared_tokens(prefixes(docs, order, words, percent, text)), folder, "tokens")
     family = families(written(second_prefixes(shared, folder), folder, "prefixes"), folder)
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))

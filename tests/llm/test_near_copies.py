@@ -15,6 +15,7 @@ from lexmill.llm import line_dedup, ngram_join, vector_join, window_dedup
 from lexmill.llm._common import work_dir
 from lexmill.llm.components import connected_components
 from lexmill.llm.shingles import shingle_sets
+from lexmill.llm.sketch import COUNTERS
 from tests.llm.conftest import components
 
 WORD = re.compile(r"[^ \t-\r]+")
@@ -131,7 +132,7 @@ def test_runs_cover_every_window_of_long_and_short_texts():
         assert {i: list(range(max(0, len(t) - 399))) for i, t in enumerate(texts) if len(t) >= 400} == {k: sorted(v) for k, v in seen.items()}
 
 
-def test_lines(spark):
+def test_lines(spark, duck):
     rnd = random.Random(8)
     words = [f"word{i}" for i in range(400)]
     lines = [" ".join(rnd.choices(words, k=rnd.randint(2, 60))) for _ in range(120)]
@@ -150,14 +151,9 @@ def test_lines(spark):
     for i, t in docs:
         for at, line in enumerate((t or "").split("\n")):
             form = line.lower().translate(drop)
-            if len(set(form.split())) >= line_dedup.MIN_WORDS:
+            if form.strip(" "):
                 places[form].append((i if i is not None else -1, at))
-    sim = simhashes(places)
-    blocks = defaultdict(list)
-    for form, s in sim.items():
-        blocks[0, s & 0xFFFFFFFF].append(form)
-        blocks[1, s >> 32].append(form)
-    links = {(a, b) for m in blocks.values() for a, b in itertools.combinations(sorted(m), 2) if bin(sim[a] ^ sim[b]).count("1") <= line_dedup.FAR and distance(a, b) <= max(len(a), len(b)) * line_dedup.EDITS // 100}
+    links = similar_lines(duck, list(places))
     assert links
     group = components(places, links)
     members = defaultdict(list)
@@ -206,21 +202,46 @@ def test_repeats_of_short_lines_go(spark):
     assert got == {1: ("Read more\nno no no no no no\nx\n\n!!", 0), 2: ("\n!!\nnew", 3), 3: ("", 1)}
 
 
-def simhashes(forms):
-    import xxhash
+def similar_lines(duck, forms):
+    """Pairs of forms by every pair's edit similarity."""
+    duck.execute("CREATE OR REPLACE TEMP TABLE near AS SELECT unnest(?) AS line", [forms])
+    return duck.sql("SELECT a.line, b.line FROM near a JOIN near b ON a.line < b.line WHERE abs(length(a.line) - length(b.line)) * 10 <= greatest(length(a.line), length(b.line)) AND 10 * levenshtein(a.line, b.line) <= greatest(length(a.line), length(b.line))").fetchall()
 
-    out = {}
-    for form in forms:
-        hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in set(form.split())]
-        out[form] = sum(1 << k for k in range(63) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
-    return out
 
-
-def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a):
-        row = list(itertools.accumulate(range(len(b)), lambda left, j, row=row, i=i, x=x: min(left + 1, row[j + 1] + 1, row[j] + (x != b[j])), initial=i + 1))
-    return row[-1]
+def test_candidates_of_scattered_edits():
+    """Of lines with one character in ten changed, however long, at least nine in ten share a token."""
+    rnd = random.Random(3)
+    order = np.zeros(COUNTERS, np.uint8)
+
+    def tokens(lines):
+        out = [set() for _ in lines]
+        for line, token, _ in line_dedup.Lines(["\n".join(lines)]).tokens(order):
+            for a, b in zip(line.tolist(), token.tolist()):
+                out[a].add(b)
+        return out
+
+    for words in (4, 8, 10, 15, 20, 30, 50, 100):
+        pairs = []
+        for _ in range(200):
+            line = " ".join("".join(rnd.choices(string.ascii_lowercase, k=rnd.randint(2, 9))) for _ in range(words))
+            other = list(line)
+            for at in rnd.sample(range(len(other)), len(other) // 10):
+                other[at] = rnd.choice(["", "X", other[at] + "Y"])
+            pairs.append((line, "".join(other)))
+        found = [bool(a & b) for a, b in zip(tokens([a for a, _ in pairs]), tokens([b for _, b in pairs]))]
+        assert sum(found) >= 0.9 * len(found), words
+
+
+def test_lines_of_odd_characters():
+    """Line numbers, lengths and names do not depend on what else is in the buffer."""
+    texts = ["a\n\nb c\n", "", "\n \n", "é😀 x\nb c", "a" * 300]
+    lines = line_dedup.Lines(texts)
+    got = [(r, p, n) for r, p, n in zip(lines.row.tolist(), lines.pos.tolist(), lines.n.tolist())]
+    assert got == [(0, 0, 1), (0, 2, 3), (3, 0, 4), (3, 1, 3), (4, 0, 300)]
+    name = lines.name.tolist()
+    assert name[1] == name[3] and len(set(name)) == 4
+    assert line_dedup.Lines(texts[4:]).name.tolist() == name[4:]
+    assert len(line_dedup.Lines([]).n) == 0
 
 
 def test_middles_keep_the_distance(spark):
