@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -41,6 +42,18 @@ def written(df: DataFrame, folder: str, name: str, codec: str = "zstd") -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of the work folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def released(spark: SparkSession) -> None:
+    """Let the driver forget tables that are out of use, so that their shuffle files go now and not at some later collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,7 +1,7 @@
 """Components of a similarity graph from tokens that linked classes share, without listing all pairs.
 
-Every token's classes are first compared with two anchors of the token, and the links found
-join classes into components. Then only classes of one token that are in different components
+Every token's classes are first compared with two anchors of the token (or likely pairs are,
+which the caller names), and the links found join classes into components. Then only classes of one token that are in different components
 remain, and all of these are compared: those outside a token's commonest component with every
 class of another component. While that would be much more than the rows, another round of
 anchors comes first. No link between two classes that share a token can be lost, for either
@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm._common import written
+from lexmill.llm._common import released, written
 from lexmill.llm.components import connected_components
 
 #: Rounds of anchors at most, and the fixed values that reorder classes when anchors are chosen.
@@ -46,11 +46,12 @@ def _mixed(shared: DataFrame) -> DataFrame:
     return shared.join(main.select("token", F.col("main.comp").alias("main"), (F.col("all") * (F.col("all") - F.col("main.k"))).alias("work")), "token")
 
 
-def linked_components(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], folder: str, close: Callable[[str, str], Column] | None = None) -> DataFrame:
+def linked_components(shared: DataFrame, verify: Callable[[DataFrame, int], DataFrame], folder: str, close: Callable[[str, str], Column] | None = None, first: DataFrame | None = None) -> DataFrame:
     """(cls, comp) of the classes that have a link; shared: written rows (token, cls, n), each once.
 
-    verify takes pairs (a, b), a < b, and returns those linked; close(n, m) may rule a pair
-    out by the classes' n before that.
+    verify takes pairs (a, b), a < b, and the round, and returns those linked; close(n, m) may
+    rule a pair out by the classes' n before that. first: likely pairs (a, b) in place of the
+    first round of anchors.
     """
     edges, labels = None, None
     shared = shared.withColumn("comp", F.col("cls"))
@@ -67,9 +68,12 @@ def linked_components(shared: DataFrame, verify: Callable[[DataFrame], DataFrame
             x = shared.where("comp <> main").select("token", F.col("cls").alias("x"), "n", "comp")
             y = shared.select("token", F.col("cls").alias("y"), F.col("n").alias("m"), F.col("comp").alias("comp2"))
             pairs = _ordered(x.join(y, "token").where("comp <> comp2"), close)
+        elif not turn and first is not None:
+            pairs = first
         else:
             pairs = _anchor_pairs(shared, turn, close)
-        found = written(verify(written(pairs, folder, f"pairs-{turn}")), folder, f"links-{turn}")
+        found = written(verify(written(pairs, folder, f"pairs-{turn}"), turn), folder, f"links-{turn}")
+        released(shared.sparkSession)
         if labels is not None and found.isEmpty():
             if last:
                 break
