@@ -8,6 +8,9 @@ what is alone in its group, and settles what is equal as a whole, so long equal
 cost a row per 170 bytes or so, and single windows are looked at only beside an edit or the
 end of a passage. Suffixes in one final group are exactly the windows that occur twice.
 
+The same passes over words, each written as the four bytes of a hash, report passages of
+PASSAGE words, whatever their length in bytes; these are counted, not removed.
+
 Digits are 64-bit polynomial hashes of the bytes. Every pass is a sum by key (combined
 before the shuffle) and a join on the keys that remain, so a passage in a third of all
 documents costs no task more than its share; the text is read twice, and its rows are
@@ -17,14 +20,18 @@ shuffled only if more documents are affected than a broadcast of their keys may
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from lexmill.llm._common import work_dir, written
-from lexmill.llm.shingles import _BASE, _BYTE, _INVERSE, mixed, powers
+from lexmill.llm._common import removed, work_dir, written
+from lexmill.llm.shingles import _BASE, _BYTE, _INVERSE, grouped, mixed, powers, word_hashes
 
 #: Threshold in bytes, bytes hashed at a time, documents named in a broadcast at most.
 WINDOW, GROUP_BYTES, FEW = 400, 1 << 18, 500_000
+#: Words of a passage that is reported, bytes of a word's hash.
+PASSAGE, WORD_BYTES = 50, 4
 
 
 def gram_of(window: int) -> int:
@@ -37,6 +44,17 @@ def block_of(window: int) -> int:
     return max(1, window * 2 // 25)
 
 
+def symbols(texts: list[str | None], words: bool) -> list[bytes]:
+    """Each text's UTF-8 bytes, or its words as WORD_BYTES of their hashes each; null counts as empty."""
+    if not words:
+        return [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    out = []
+    for _, group in grouped(texts):
+        hashes, edges = word_hashes(group)
+        data = hashes.astype("<u4").tobytes()
+        out += [data[WORD_BYTES * a : WORD_BYTES * b] for a, b in zip(edges.tolist(), edges[1:].tolist())]
+    return out
+
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
@@ -114,20 +132,20 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("key__", F.xxhash64(F.col("doc_id").cast("bigint"), F.col(text).cast("string")))
 
 
-def run_table(docs: DataFrame, window: int, text: str) -> DataFrame:
+def run_table(docs: DataFrame, window: int, text: str, words: bool = False) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             key = batch.column(0).to_numpy()
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+            texts = symbols(batch.column(1).to_pylist(), words)
             for row, start, n, _, gram, hull in _runs_of(texts, window):
                 yield pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array(start), pa.array(n.astype(np.int32)), pa.array(gram), pa.array(hull)], names=["key__", "start", "n", "gram", "hull"])
 
     return docs.select("key__", F.col(text).cast("string")).mapInArrow(run, "key__ bigint, start bigint, n int, gram bigint, hull bigint")
 
 
-def cell_table(docs: DataFrame, asked: DataFrame, window: int, text: str) -> DataFrame:
+def cell_table(docs: DataFrame, asked: DataFrame, window: int, text: str, words: bool = False) -> DataFrame:
     """(hull, alone, key__, start, n, offset, content) of the asked runs; asked: (key__, want: array of struct(hull, alone))."""
 
     def run(batches):
@@ -136,7 +154,7 @@ def cell_table(docs: DataFrame, asked: DataFrame, window: int, text: str) -> Dat
         types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         for batch in batches:
             key = batch.column(0).to_numpy()
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+            texts = symbols(batch.column(1).to_pylist(), words)
             wanted = [{w["hull"]: w["alone"] for w in ws} for ws in batch.column(2).to_pylist()]
             rows: tuple[list, ...] = ([], [], [], [], [], [], [])
             for row, start, n, offset, _, hull in _runs_of(texts, window):
@@ -208,17 +226,17 @@ def twice(table: DataFrame, key: str) -> DataFrame:
     return table.groupBy(key).agg(F.count(F.lit(1)).alias("k__")).where("k__ > 1").select(key)
 
 
-def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
-    """(key__, lo, hi): byte ranges of the documents that repeated windows cover; docs need key__."""
+def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text", words: bool = False) -> DataFrame:
+    """(key__, lo, hi): byte ranges of the documents, or of the hashes of their words, that repeated windows cover; docs need key__."""
     folder = work_dir(docs.sparkSession)
-    table = written(run_table(docs, window, text), folder, "runs")
+    table = written(run_table(docs, window, text, words), folder, "runs")
     classes = table.groupBy("gram", "hull").agg(F.count(F.lit(1)).alias("c"), F.min("key__").alias("key__"))
     classes = written(classes, folder, "classes")
     shared = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
     same = classes.where("c > 1").select("gram", "hull")
     ranges = table.join(same, ["gram", "hull"]).select("key__", F.col("start").alias("lo"), (F.col("start") + F.col("n") - 1 + window).alias("hi"))
     asked = classes.join(shared, "gram").groupBy("key__").agg(F.collect_list(F.struct("hull", (F.col("c") == 1).alias("alone"))).alias("want"))
-    cells = written(cell_table(docs, written(asked, folder, "asked"), window, text), folder, "cells")
+    cells = written(cell_table(docs, written(asked, folder, "asked"), window, text, words), folder, "cells")
     cells = cells.where("content is not null")
 
     blocks = written(block_table(cells, window), folder, "blocks")
@@ -229,42 +247,73 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text") -
     single = windows.where("alone").join(twice(windows, "digit"), "digit").select("hull", F.col("at").alias("lo"), F.col("at").alias("hi"))
     place = cells.where("alone").select("hull", "key__", "start")
     found = whole.unionByName(single).join(place, "hull").select("key__", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + window).alias("hi"))
-    return ranges.unionByName(found)
-
-
-def without_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
+    found = written(ranges.unionByName(found), folder, "ranges")
+    for name in ("runs", "classes", "asked", "cells", "blocks", "cores", "windows"):
+        removed(docs.sparkSession, f"{folder}/{name}")
+    return found
+
+
+def span_table(docs: DataFrame, window: int = WINDOW, text: str = "text", words: bool = False) -> DataFrame:
+    """(k2__, spans): the disjoint ranges of each document that has any, in order; of bytes, or of words. docs need key__."""
+    ranges = repeated_ranges(docs, window * WORD_BYTES if words else window, text, words)
+    if words:  # a window between two words says nothing about these
+        ranges = ranges.select("key__", F.ceil(F.col("lo") / WORD_BYTES).alias("lo"), F.floor(F.col("hi") / WORD_BYTES).alias("hi"))
+    by = Window.partitionBy("key__").orderBy("lo")
+    before = F.max("hi").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    rows = ranges.distinct().withColumn("new", F.coalesce((F.col("lo") > before).cast("int"), F.lit(1)))
+    rows = rows.withColumn("island", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.groupBy("key__", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    rows = rows.groupBy(F.col("key__").alias("k2__")).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
+    return written(rows, work_dir(docs.sparkSession), "spans")
+
+
+def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """docs with the columns of spans for their keys, empty where there are none; texts are shuffled only if more documents have some than a broadcast may name."""
+    names = [c for c in spans.columns if c != "k2__"]
+    none = {c: F.expr("cast(array() as array<struct<lo: bigint, hi: bigint>>)") for c in names}
+    if spans.count() > FEW:
+        return docs.join(spans, F.col("key__") == F.col("k2__"), "left").drop("k2__").withColumns({c: F.coalesce(c, none[c]) for c in names})
+    named = F.broadcast(spans.select("k2__"))
+    some = docs.join(named, F.col("key__") == F.col("k2__"), "left_semi").join(spans, F.col("key__") == F.col("k2__")).drop("k2__")
+    return docs.join(named, F.col("key__") == F.col("k2__"), "left_anti").withColumns(none).unionByName(some)
+
+
+@F.pandas_udf(BinaryType())
+def _without(data: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
+    def cut(text, lo, hi):  # noqa: ANN001
+        edges = np.r_[0, np.stack([lo, hi], 1).ravel(), len(text)].tolist()
+        return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+    return pd.Series([cut(bytes(t), a, b) for t, a, b in zip(data, lo, hi)], dtype=object)
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", passage: int = 0) -> DataFrame:
     """docs with n_bytes, spans (removed byte ranges, disjoint, in order) and kept (the bytes left).
 
     Removes every byte covered by a string of `window` bytes that also starts anywhere else;
-    null texts count as empty; rows that are equal as a whole count as occurrences of their
-    own. Columns of the names added are replaced.
+    null texts count as empty, which have no spans; texts of any length are hashed in stretches
+    of GROUP_BYTES; rows that are equal as a whole count as occurrences of their own, and ties
+    do not arise, for all occurrences go. With passage, also passages: the ranges of words that
+    strings of so many words cover that occur elsewhere too. Columns of the names added are replaced.
     """
-    docs = keyed(docs.drop("n_bytes", "spans", "kept", "key__"), text)
-    folder = work_dir(docs.sparkSession)
-    ranges = repeated_ranges(docs, window, text)
-    per = ranges.groupBy("key__").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("r"))
-    grown = F.aggregate(
-        "r",
-        F.expr("cast(array() as array<struct<lo: bigint, hi: bigint>>)"),
-        lambda a, x: F.when((F.size(a) > 0) & (F.get(a, F.size(a) - 1)["hi"] >= x["lo"]), F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(F.get(a, F.size(a) - 1)["lo"].alias("lo"), F.greatest(F.get(a, F.size(a) - 1)["hi"], x["hi"]).alias("hi"))))).otherwise(F.concat(a, F.array(x))),
-    )
-    spans = written(per.select(F.col("key__").alias("k2__"), grown.alias("spans")), folder, "spans")
-    data = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
-    some = docs
-    clean = None
-    if spans.count() <= FEW:
-        named = F.broadcast(spans.select("k2__"))
-        some = docs.join(named, F.col("key__") == F.col("k2__"), "left_semi")
-        clean = docs.join(named, F.col("key__") == F.col("k2__"), "left_anti").withColumn("spans", F.expr("cast(array() as array<struct<lo: bigint, hi: bigint>>)"))
-    rows = some.join(spans, F.col("key__") == F.col("k2__"), "left").drop("k2__").withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<lo: bigint, hi: bigint>>)")))
-    if clean is not None:
-        rows = clean.unionByName(rows)
-    left = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(b"").cast("binary").alias("out")), lambda a, s: F.struct(s["hi"].alias("at"), F.concat(a["out"], F.substring(F.col("data__"), (a["at"] + 1).cast("int"), (s["lo"] - a["at"]).cast("int"))).alias("out")), lambda a: F.concat(a["out"], F.substring(F.col("data__"), (a["at"] + 1).cast("int"), F.octet_length("data__"))))
-    rows = rows.withColumn("data__", data).withColumn("n_bytes", F.octet_length("data__").cast("bigint"))
+    docs = keyed(docs.drop("n_bytes", "spans", "kept", "key__", "k2__", *["passages"][: bool(passage)]), text)
+    spans = span_table(docs, window, text)
+    if passage:
+        none = F.expr("cast(array() as array<struct<lo: bigint, hi: bigint>>)")
+        passages = span_table(docs, passage, text, True).select("k2__", F.col("spans").alias("passages"))
+        spans = spans.join(passages, "k2__", "full").select("k2__", *[F.coalesce(c, none).alias(c) for c in ("spans", "passages")])
+        spans = written(spans, work_dir(docs.sparkSession), "both")
+    rows = with_spans(docs, spans)
+    rows = rows.withColumn("data__", F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")).withColumn("n_bytes", F.octet_length("data__").cast("bigint"))
+    left = _without("data__", F.col("spans.lo"), F.col("spans.hi"))
     return rows.withColumn("kept", F.when(F.size("spans") > 0, left).otherwise(F.col("data__"))).drop("data__", "key__")
 
 
+def covered(spans: str) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, s: a + s["hi"] - s["lo"])
+
+
 def window_digest(docs: DataFrame) -> DataFrame:
-    rows = without_repeats(docs.select("doc_id", "text"))
-    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["hi"] - s["lo"])
-    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    """The columns asked for, and n_passage_words: the words of passages of at least PASSAGE words that occur elsewhere too."""
+    rows = without_repeats(docs.select("doc_id", "text"), passage=PASSAGE)
+    return rows.select("doc_id", "n_bytes", covered("spans").alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), covered("passages").alias("n_passage_words"))

@@ -259,3 +259,23 @@ def test_middles_keep_the_distance(spark):
     cut = line_dedup._middles(df, "x", "y")
     assert cut.where(F.levenshtein("x", "y") != F.levenshtein("a_mid", "b_mid")).collect() == []
     assert cut.where(F.length("a_mid") < F.length("x")).count() > 100
+
+
+def test_passages_by_words(spark):
+    """Words covered by strings of so many words that occur elsewhere too, against brute force; edits, overlaps, repeats in one text, nulls."""
+    rnd = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(60)]
+    passage = rnd.choices(vocabulary, k=30)
+    texts = [None, "", "one two", " ".join(["so"] * 40), "  ".join(passage), " ".join(passage[:9]), " ".join(passage[5:16]).upper()]
+    for i in range(40):
+        words = rnd.choices(vocabulary, k=rnd.randint(0, 40))
+        at = rnd.randint(0, len(words))
+        a, b = sorted(rnd.sample(range(31), 2))
+        texts.append("\n".join(words[:at] + passage[a:b] + words[at:]))
+    n = 10
+    own = [[w.lower() for w in WORD.findall(t or "")] for t in texts]
+    seen = Counter(tuple(w[i : i + n]) for w in own for i in range(len(w) - n + 1))
+    want = {d: len({k for i in range(len(w) - n + 1) if seen[tuple(w[i : i + n])] > 1 for k in range(i, i + n)}) for d, w in enumerate(own)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = window_dedup.without_repeats(df.withColumn("passages", F.lit(1)), passage=n).select("doc_id", window_dedup.covered("passages").alias("n")).collect()
+    assert {r.doc_id: r.n for r in rows} == want and sum(x > 0 for x in want.values()) > 20
