@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS, ORDERS, GROUP_CHARS, SMOOTHING = 1 << 16, (1, 2, 3), 250_000, 0.5
+OVERLAP = max(ORDERS) - 1
 UNKNOWN = "und"
 
 
@@ -23,13 +24,16 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets of all n-grams of all texts, edges of each text's run); n-grams across texts fall in bucket BUCKETS."""
-    padded = [f" {t.lower()} " for t in texts]
-    codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
-    edges = np.cumsum([0, *map(len, padded)])
+def ngrams(pieces: list[str], last: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of the n-grams that start at each character, edges of each piece's run); n-grams beyond a piece fall in bucket BUCKETS.
+
+    A piece that is not the last of its text ends with OVERLAP characters that the next begins with and counts.
+    """
+    codes = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
+    edges = np.cumsum([0, *map(len, pieces)])
     out = np.empty((len(codes), len(ORDERS)), np.int32)
     crossing = edges[1:]
+    shared = crossing[~np.array(last, bool)]
     mixed = np.zeros(len(codes), np.uint32)
     for k, n in enumerate(ORDERS):
         mixed = mixed * np.uint32(0x01000193) + np.concatenate([codes[n - 1 :], np.zeros(n - 1, np.uint32)]) + np.uint32(n)
@@ -38,20 +42,27 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out[:, k] = (h * np.uint32(0x85EBCA6B)) >> np.uint32(16)
         for back in range(1, n):
             out[crossing - back, k] = BUCKETS
+        for back in range(1, OVERLAP + 1):
+            out[shared - back, k] = BUCKETS
     return out, edges
 
 
 def _groups(texts: list[str | None]):
-    """(first row, texts) of about GROUP_CHARS characters each; null counts as empty."""
-    group, size, first = [], 0, 0
+    """(rows, pieces, whether each is its text's last) of about GROUP_CHARS characters; texts are lower-cased between blanks, long ones cut; null counts as empty."""
+    rows, pieces, last, size = [], [], [], 0
     for i, t in enumerate(texts):
-        group.append(t or "")
-        size += len(group[-1])
-        if size > GROUP_CHARS:
-            yield first, group
-            group, size, first = [], 0, i + 1
-    if group:
-        yield first, group
+        padded = f" {(t or '').lower()} "
+        stops = range(0, max(1, len(padded) - OVERLAP), GROUP_CHARS)
+        for at in stops:
+            rows.append(i)
+            pieces.append(padded[at : at + GROUP_CHARS + OVERLAP])
+            last.append(at == stops[-1])
+            size += len(pieces[-1])
+            if size > GROUP_CHARS:
+                yield rows, pieces, last
+                rows, pieces, last, size = [], [], [], 0
+    if rows:
+        yield rows, pieces, last
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -66,14 +77,14 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, group in _groups(texts):
-                grams, edges = ngrams(group)
-                own = np.array(langs[first : first + len(group)], dtype=object)
+            for at, pieces, last in _groups(texts):
+                grams, edges = ngrams(pieces, last)
+                own = np.array([langs[i] for i in at], dtype=object)
                 for lang in sorted(set(own)):
                     rows = total.setdefault(lang, np.zeros(BUCKETS + 2, np.int64))
                     mask = np.repeat(own == lang, np.diff(edges))
                     rows[: BUCKETS + 1] += np.bincount(grams[mask].ravel(), minlength=BUCKETS + 1)
-                    rows[BUCKETS + 1] += int((own == lang).sum())
+                    rows[BUCKETS + 1] += int(((own == lang) & last).sum())
         for lang, rows in total.items():
             at = np.flatnonzero(rows)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(rows[at])], names=["lang", "bucket", "n"])
@@ -95,7 +106,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
     """docs with lang_pred and score (the posterior of lang_pred); columns of these names are replaced.
 
     lang_pred is `und` with score 0 where the text is null or has no letter, or nothing was learned.
-    Ties go to the language that sorts first.
+    Ties go to the language that sorts first. Rows that repeat are predicted alike; a very long
+    text is counted and scored whole, in stretches of GROUP_CHARS characters.
     """
     langs, table, prior = model
     shared = docs.sparkSession.sparkContext.broadcast((langs, table.astype(np.float32), prior))
@@ -110,22 +122,17 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
         columns = [np.ascontiguousarray(table[:, k]) for k in range(len(langs))]
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            names, scores = [], []
-            for _, group in _groups(texts):
-                if not langs:
-                    names += [UNKNOWN] * len(group)
-                    scores += [0.0] * len(group)
-                    continue
-                grams, edges = ngrams(group)
-                total = np.empty((len(group), len(langs)))
+            total = np.tile(prior, (len(texts), 1))
+            for at, pieces, last in _groups(texts) if langs else ():
+                grams, edges = ngrams(pieces, last)
                 for k in range(len(langs)):
-                    total[:, k] = prior[k] + np.add.reduceat(columns[k][grams].sum(axis=1, dtype=np.float64), edges[:-1])
-                best = total.argmax(axis=1)
-                share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-                for t, b, s in zip(group, best.tolist(), share.tolist()):
-                    found = letter.search(t) is not None
-                    names.append(langs[b] if found else UNKNOWN)
-                    scores.append(s if found else 0.0)
+                    np.add.at(total[:, k], at, np.add.reduceat(columns[k][grams].sum(axis=1, dtype=np.float64), edges[:-1]))
+            found = [bool(langs) and t is not None and letter.search(t) is not None for t in texts]
+            if langs:
+                best = total.argmax(axis=1).tolist()
+                share = (1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)).tolist()
+            names = [langs[best[i]] if f else UNKNOWN for i, f in enumerate(found)]
+            scores = [share[i] if f else 0.0 for i, f in enumerate(found)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

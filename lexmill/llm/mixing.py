@@ -5,8 +5,10 @@ the smallest keys of a source are a weighted sample without replacement. A sourc
 target exceeds its size is taken in complete epochs first; the rest is the longest prefix of
 the key order that the remainder holds, and the one document beyond it whose size comes
 nearest to what is then left. The prefix is found by summing sizes over fixed bins of the
-key and ordering only the bin in which the budget ends, so the rows of a hot source never
-meet in one task. What is broadcast is a row per source.
+key, then over those within the bin in which the budget ends, and ordering only one of the
+latter, so the rows of a hot source never meet in one task. Rows that tie, being equal in id
+and text, are counted as one with a multiplicity; where the prefix ends among them, they are
+numbered by task, and as many are taken as fit. What is broadcast is a row per source.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.sql import functions as F
 
 from lexmill.llm._common import WORD, work_dir, written
 
-#: Bins of the key; sources above which the table of sources is not broadcast.
+#: Bins of the key, and bins of each of them; sources above which the table of sources is not broadcast.
 BINS, MANY_SOURCES = 4096, 10_000
-OWN = ("size", "source_size", "target", "taken", "key__", "bin__", "tie__", "src__")
+OWN = ("size", "source_size", "target", "taken", "key__", "bin__", "fine__", "tie__", "src__", "more__", "row__", "nth__", "task__", "ahead__", "wanted__")
 
 
 def quality(text: str = "text") -> Column:
@@ -30,9 +32,10 @@ def quality(text: str = "text") -> Column:
     return F.greatest(F.lit(0.25), 1 - 4 * symbols / F.greatest(F.length(t), F.lit(1)))
 
 
-def uniform(seed: int, doc_id: str = "doc_id") -> Column:
-    """A number in (0, 1) from the first 48 bits of md5 of `seed:doc_id`."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("string")).cast("binary"))
+def uniform(seed: int, doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A number in (0, 1) from the first 48 bits of md5 of `seed:doc_id`; a row without an id goes by its text."""
+    name = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.xxhash64(text).cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
@@ -56,53 +59,87 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (5
     return out
 
 
+def _sums(rows: DataFrame, info: DataFrame, by: str) -> DataFrame:
+    """(src, by, before): per source the bin in which the running sum of sizes reaches the remainder, and the sum before it; info: (src, remainder, start)."""
+    bins = rows.groupBy("src__", by).agg(F.sum("size").alias("n"))
+    running = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("src__").orderBy(by)))  # BINS rows a source at most
+    ends = running.join(info, F.col("src__").eqNullSafe(F.col("src"))).withColumn("upto", F.col("upto") + F.col("start"))
+    ends = ends.where("remainder > 0 and upto >= remainder").groupBy("src").agg(F.min(F.struct(F.col(by).alias("at"), (F.col("upto") - F.col("n")).alias("start"), "remainder")).alias("e"))
+    return ends.select("src", "e.*")
+
+
+def _within(rows: DataFrame, ends: DataFrame, by: str, hint) -> DataFrame:  # noqa: ANN001
+    """The rows of the bins where the remainders end, with start and remainder."""
+    return rows.join(hint(ends), F.col("src__").eqNullSafe(F.col("src")) & (F.col(by) == F.col("at"))).drop("src", "at")
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, seed: int = 17, quality_column: Column | None = None) -> DataFrame:
     """docs with size (words), source_size, target (of its source) and taken (words, repeats counted).
 
     taken is a whole multiple of size, at most cap times: whole documents are taken. Null
-    texts have size 0; documents of equal id draw equal keys and go by size and text.
-    Columns of the names added are replaced; an empty table stays empty.
+    texts have size 0, and very long texts are documents like others; documents of equal id
+    draw equal keys and go by size and text, and of rows equal in all three as many are taken
+    as fit. Columns of the names added are replaced; an empty table stays empty.
     """
-    spark = docs.sparkSession
+    spark, folder = docs.sparkSession, work_dir(docs.sparkSession)
     rows = docs.drop(*[c for c in docs.columns if c.lower() in OWN])
     rows = rows.withColumns({"size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"), "src__": F.col("source").cast("string")})
     rows = rows.withColumn("key__", -F.log(uniform(seed)) / (quality() if quality_column is None else quality_column))
-    rows = rows.withColumns({"bin__": F.floor(BINS * (1 - F.exp(-F.col("key__")))).cast("int"), "tie__": F.struct("key__", F.col("doc_id").cast("bigint").alias("id"), "size", F.xxhash64("text").alias("h"))})
+    rows = rows.withColumns({"fine__": F.floor(BINS * BINS * (1 - F.exp(-F.col("key__")))).cast("int"), "tie__": F.struct("key__", F.col("doc_id").cast("bigint").alias("id"), "size", F.xxhash64("text").alias("h"))})
 
-    slim = written(rows.select("src__", "size", "bin__", "tie__"), work_dir(spark), "keys")
+    slim = written(rows.select("src__", "size", "fine__", "tie__"), folder, "keys").withColumn("bin__", F.floor(F.col("fine__") / BINS).cast("int"))
     total = [(r.src__, r.n) for r in slim.groupBy("src__").agg(F.sum("size").alias("n")).collect()]  # a row per source of the mix
+    hint = F.broadcast if len(total) <= MANY_SOURCES else lambda x: x
     goal = targets(total, weights, cap)
     info = []
     for s, n in total:
         epochs = min(cap, math.floor(goal[s] / n)) if n else 0
         info.append((s, int(n), float(goal[s]), epochs, float(goal[s] - epochs * n) if epochs < cap else 0.0))
     info = spark.createDataFrame(info, "src string, source_size bigint, target double, epochs int, remainder double")
-    if len(total) <= MANY_SOURCES:
-        info = F.broadcast(info)
-
-    bins = slim.groupBy("src__", "bin__").agg(F.sum("size").alias("n"))
-    running = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("src__").orderBy("bin__")))  # BINS rows a source at most
-    ends = running.join(info, F.col("src__").eqNullSafe(F.col("src"))).where("remainder > 0 and upto >= remainder")
-    ends = ends.groupBy("src").agg(F.min(F.struct(F.col("bin__").alias("bin"), (F.col("upto") - F.col("n")).alias("before"), "remainder")).alias("e")).select("src", "e.*")
-    last = slim.join(F.broadcast(ends) if len(total) <= MANY_SOURCES else ends, F.col("src__").eqNullSafe(F.col("src")) & (F.col("bin__") == F.col("bin")))
+
+    ends = _sums(slim, hint(info.select("src", "remainder", F.lit(0).alias("start"))), "bin__")
+    last = _within(slim, ends, "bin__", hint).drop("start", "remainder")
+    ends = _sums(last, hint(ends.drop("at")), "fine__")
+    last = _within(last, ends, "fine__", hint).groupBy("src__", "tie__").agg(F.count(F.lit(1)).alias("k"), F.min("size").alias("size"), F.min("start").alias("start"), F.min("remainder").alias("remainder"))
     order = Window.partitionBy("src__").orderBy("tie__").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = last.withColumn("upto", F.col("before") + F.sum("size").over(order)).where("upto <= remainder")
-    cut = ends.join(last.groupBy("src__").agg(F.max("tie__").alias("cut"), F.max("upto").alias("got")), F.col("src__").eqNullSafe(F.col("src")), "left")
-    cut = cut.select(F.col("src").alias("src2"), "bin", "cut", (F.col("remainder") - F.coalesce("got", "before")).alias("gap"))
-    info = info.join(cut, F.col("src").eqNullSafe(F.col("src2")), "left").drop("src2")
-    if len(total) <= MANY_SOURCES:
-        info = F.broadcast(info)
-
-    more = F.coalesce((F.col("bin__") < F.col("bin")) | ((F.col("bin__") == F.col("bin")) & (F.col("tie__") <= F.col("cut"))), F.lit(False))
-    beyond = slim.join(info.where("gap > 0"), F.col("src__").eqNullSafe(F.col("src"))).where(~more & (F.col("size") > 0))
-    beyond = beyond.withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("off < gap").groupBy("src__").agg(F.min(F.struct("off", "tie__")).alias("m"))
-    info = info.join(beyond.select(F.col("src__").alias("src2"), F.col("m.tie__").alias("one")), F.col("src").eqNullSafe(F.col("src2")), "left").drop("src2", "gap")
-    if len(total) <= MANY_SOURCES:
-        info = F.broadcast(info)
-    own = {c: f"i_{c}__" for c in ("src", "epochs", "remainder", "bin", "cut", "one")}  # beside whatever columns docs have
-    more = F.coalesce((F.col("bin__") < F.col(own["bin"])) | ((F.col("bin__") == F.col(own["bin"])) & (F.col("tie__") <= F.col(own["cut"]))), F.lit(False)) | F.coalesce(F.col("tie__") == F.col(own["one"]), F.lit(False))
-    out = rows.join(info.withColumnsRenamed(own), F.col("src__").eqNullSafe(F.col(own["src"])), "left")
-    return out.withColumn("taken", F.col("size") * (F.col(own["epochs"]) + more.cast("int"))).drop("src__", "key__", "bin__", "tie__", *own.values())
+    last = last.withColumn("start", F.col("start") + F.sum(F.col("k") * F.col("size")).over(order) - F.col("k") * F.col("size"))
+    room = F.col("remainder") - F.col("start")
+    last = last.withColumn("m", F.when(room < 0, 0).when(F.col("size") == 0, F.col("k")).otherwise(F.least("k", F.floor(room / F.col("size")))).cast("bigint")).where("m > 0")
+    last = last.groupBy("src__").agg(F.max(F.struct("tie__", "m", "k", (F.col("start") + F.col("m") * F.col("size")).alias("got"))).alias("l")).select(F.col("src__").alias("src2"), "l.*")
+    cut = ends.join(last, F.col("src").eqNullSafe(F.col("src2")), "left")
+    cut = cut.select(F.col("src").alias("src2"), F.col("at").alias("fine"), F.col("tie__").alias("cut"), "m", "k", (F.col("remainder") - F.coalesce("got", "start")).alias("gap"))
+    info = written(hint(info).join(cut, F.col("src").eqNullSafe(F.col("src2")), "left").drop("src2"), folder, "cuts")
+
+    below = F.coalesce((F.col("fine__") < F.col("fine")) | ((F.col("fine__") == F.col("fine")) & (F.col("tie__") < F.col("cut"))), F.lit(False))
+    full = F.coalesce((F.col("tie__") == F.col("cut")) & (F.col("m") == F.col("k")), F.lit(False))
+    beyond = slim.join(hint(info.where("gap > 0")), F.col("src__").eqNullSafe(F.col("src"))).where(~below & ~full & (F.col("size") > 0))
+    beyond = beyond.withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("off < gap").groupBy("src__").agg(F.min(F.struct("off", "tie__")).alias("o"))
+    one = written(beyond.select(F.col("src__").alias("src2"), F.col("o.tie__").alias("one")), folder, "nearest")
+    some = slim.join(hint(one), F.col("src__").eqNullSafe(F.col("src2")) & (F.col("tie__") == F.col("one"))).groupBy("src2").agg(F.count(F.lit(1)).alias("k1"), F.min("one").alias("one"))
+    info = written(hint(info).join(some, F.col("src").eqNullSafe(F.col("src2")), "left").drop("src2", "gap"), folder, "plan")
+    own = {c: f"i_{c}__" for c in ("src", "epochs", "remainder", "fine", "cut", "m", "k", "one", "k1")}  # beside whatever columns docs have
+    out = rows.join(hint(info.withColumnsRenamed(own)), F.col("src__").eqNullSafe(F.col(own["src"])), "left")
+    i = {c: F.col(name) for c, name in own.items()}
+    at_cut, at_one = (F.coalesce(F.col("tie__") == i[c], F.lit(False)) for c in ("cut", "one"))
+    below = F.coalesce((F.col("fine__") < i["fine"]) | ((F.col("fine__") == i["fine"]) & (F.col("tie__") < i["cut"])), F.lit(False))
+    wanted = F.when(at_cut, i["m"]).otherwise(F.lit(0)) + at_one.cast("int")  # of the rows that tie with this one
+    equal = F.when(at_cut, i["k"]).when(at_one, i["k1"]).otherwise(F.lit(1))
+    if info.where("m < k or k1 > 1").isEmpty():
+        out = out.withColumn("more__", below | (wanted >= equal))
+    else:  # a prefix ends among equal rows
+        split = (wanted > 0) & (wanted < equal)
+        edge = written(out.where(split).withColumns({"row__": F.monotonically_increasing_id(), "wanted__": wanted.cast("bigint")}), folder, "edge")
+        task = F.shiftright("row__", 33)
+        group = ["src__", "tie__", "task__"]
+        edge = edge.withColumn("task__", task)
+        ahead = Window.partitionBy("src__", "tie__").orderBy("task__").rowsBetween(Window.unboundedPreceding, -1)
+        tasks = edge.groupBy(*group).agg(F.count(F.lit(1)).alias("n__")).withColumn("ahead__", F.coalesce(F.sum("n__").over(ahead), F.lit(0)))  # a row a task
+        tasks = tasks.select(*[F.col(c).alias(f"t_{c}") for c in group], "ahead__")
+        edge = edge.withColumn("nth__", F.row_number().over(Window.partitionBy(*group).orderBy("row__")))
+        edge = edge.join(tasks, (F.col("t_src__").eqNullSafe(F.col("src__"))) & (F.col("t_tie__") == F.col("tie__")) & (F.col("t_task__") == F.col("task__")))
+        edge = edge.withColumn("more__", F.col("nth__") + F.col("ahead__") <= F.col("wanted__")).drop("row__", "wanted__", "nth__", "ahead__", "task__", *[f"t_{c}" for c in group])
+        out = out.where(~split).withColumn("more__", below | (wanted >= equal)).unionByName(edge)
+    return out.withColumn("taken", F.col("size") * (i["epochs"] + F.col("more__").cast("int"))).drop("src__", "key__", "fine__", "tie__", "more__", *own.values())
 
 
 def mixed_digest(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from lexmill.llm._common import work_dir, written
 from lexmill.llm.tokens import encoder, forget
 
-MAX_BITS, BLOCK, SEGMENT_IDS = 18, 512, 1 << 20
+#: A segment ends when its ids and ROW for each of its documents come to SEGMENT_IDS.
+MAX_BITS, BLOCK, SEGMENT_IDS, ROW = 18, 512, 1 << 20, 16
 
 
 def limited_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -105,23 +106,30 @@ def encoded(ids: list[np.ndarray], codes: np.ndarray, lengths: np.ndarray) -> li
 
 
 def decoded(payload: bytes, offsets: np.ndarray, counts: np.ndarray, table: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
-    """The ids of all blocks, one after another; every step decodes one id of each block left."""
+    """The ids of all blocks, one after another; every step decodes one id of each block left.
+
+    Blocks go in groups whose longest is less than twice as long as the others, so what is
+    held follows the ids, not the longest block times the blocks.
+    """
     words = np.frombuffer(payload + b"\0" * (16 - len(payload) % 8), ">u4").astype(np.uint64)
     pairs = words[:-1] << np.uint64(32) | words[1:]
     order = np.argsort(-counts, kind="stable")
-    at, left = offsets[order].astype(np.int64), counts[order]
-    steps = int(left[0]) if len(left) else 0
-    active = np.searchsorted(-left, -np.arange(steps), side="left")
+    offset, left = offsets[order].astype(np.int64), counts[order]
+    first = (np.cumsum(counts) - counts)[order]
+    out = np.empty(int(counts.sum()), np.uint32)
     mask = np.uint64((1 << max_bits) - 1)
-    rows = np.zeros((steps, len(left)), np.uint32)
-    for step, n in enumerate(active):
-        p = at[:n]
-        row = rows[step, :n]
-        np.take(table, pairs[p >> 5] >> (64 - max_bits - (p & 31)).view(np.uint64) & mask, out=row)
-        p += row & 31
-    place = np.empty_like(order)
-    place[order] = np.arange(len(order))
-    return (rows.T[place] >> 5)[np.arange(steps) < counts[:, None]]
+    lo = 0
+    while lo < len(left) and left[lo]:
+        steps = int(left[lo])
+        hi = int(np.searchsorted(-left, -(steps // 2), side="left"))
+        at, n, place = offset[lo:hi], left[lo:hi], first[lo:hi]
+        for step, active in enumerate(np.searchsorted(-n, -np.arange(steps), side="left")):
+            p = at[:active]
+            row = table[pairs[p >> 5] >> (64 - max_bits - (p & 31)).view(np.uint64) & mask]
+            p += row & 31
+            out[place[:active] + step] = row >> 5
+        lo = hi
+    return out
 
 
 def id_table(docs: DataFrame, file: str, end_id: int = 0) -> DataFrame:
@@ -159,8 +167,9 @@ SEGMENT = "part int, segment int, start bigint, n_ids bigint, doc_ids binary, kn
 def write_ids(docs: DataFrame, file: str, end_id: int = 0, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Write the ids of all documents in ascending doc_id order; (segments, code book) read back.
 
-    Null texts count as empty, null doc_ids come first, equal doc_ids keep all their rows.
-    An empty table gives no segments.
+    Null texts count as empty, null doc_ids come first, equal doc_ids keep all their rows, in
+    any order among themselves. A very long text is many blocks of one segment. An empty table
+    gives no segments.
     """
     spark = docs.sparkSession
     folder = folder or work_dir(spark)
@@ -174,26 +183,30 @@ def write_ids(docs: DataFrame, file: str, end_id: int = 0, folder: str | None =
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     share = [i / parts for i in range(1, parts)] or [0.5]
-    bounds = table.agg(F.percentile_approx("doc_id", share, 10000).alias("b")).first().b or []
-    bounds = spark.sparkContext.broadcast(np.array(sorted(set(bounds)), np.int64))  # one bound a partition
+    known = table.agg(F.percentile_approx("doc_id", share, 10000).alias("b"), F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("k")).first()
+    bounds = spark.sparkContext.broadcast(np.array(sorted(set(known.b or [])), np.int64))  # one bound a partition
+    nameless = min(parts, known.n - known.k) or 1  # parts among which rows without an id are dealt, before all others
 
     def code(batches):
         import pyarrow as pa
 
         forget()
         codes, lengths = shared.value
+        turn = 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 own = batch.slice(lo, 500)
                 ids = [np.frombuffer(x, f"<u{w}") for x, w in zip(own.column(1).to_pylist(), own.column(2).to_pylist())]
                 got = encoded(ids, codes, lengths)
                 doc_id = own.column(0)
-                part = np.searchsorted(bounds.value, doc_id.fill_null(0).to_numpy(), side="left") + 1
-                part[np.asarray(doc_id.is_null())] = 0
+                part = np.searchsorted(bounds.value, doc_id.fill_null(0).to_numpy(), side="left") + nameless
+                none = np.flatnonzero(np.asarray(doc_id.is_null()))
+                part[none] = (turn + np.arange(len(none))) % nameless
+                turn += len(none)
                 yield pa.RecordBatch.from_arrays([doc_id, pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<i8").tobytes() for _, x in got], pa.binary()), pa.array([x for x, _ in got], pa.binary()), pa.array(part, pa.int32())], names=["doc_id", "n", "at", "payload", "part"])
 
     coded = table.mapInArrow(code, "doc_id bigint, n bigint, at binary, payload binary, part int")
-    coded = coded.repartitionById(len(bounds.value) + 2, "part").sortWithinPartitions("part", "doc_id")
+    coded = coded.repartitionById(len(bounds.value) + 1 + nameless, "part").sortWithinPartitions("part", "doc_id")
 
     def segments(batches):
         import pyarrow as pa
@@ -224,7 +237,7 @@ def write_ids(docs: DataFrame, file: str, end_id: int = 0, folder: str | None =
                 if own != part:
                     part, segment, start = own, 0, 0
                 held.append((doc_id, n, at, payload))
-                size += n
+                size += n + ROW
         if held:
             yield flush()
 

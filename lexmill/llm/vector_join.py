@@ -116,46 +116,42 @@ def linked_in_cells(visiting: DataFrame, width: int, least: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int64())], names=["rep", "other", "weight"])
 
         def among(own, other, own_copies, other_copies, same):
-            """Links of own to other rows: (weights of own, weights of other, one link of each other row, links that join own rows)."""
+            """Links of own to other rows: (weights of own, weights of other, which are close)."""
             close = own @ other.T >= least
             if same:
                 np.fill_diagonal(close, False)
             return close @ other_copies, own_copies @ close, close
 
-        def root(parent, i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
+        def tops(close):
+            """The smallest row that each row reaches, by repeated minima over its links."""
+            top = np.arange(len(close))
+            some = np.flatnonzero(close.any(axis=1))
+            near = close[some]
+            while len(some):
+                least = np.minimum(top[some], np.where(near, top, len(top)).min(axis=1))
+                new = top.copy()
+                new[some] = least
+                np.minimum.at(new, top[some], least)
+                new = new[new]
+                if (new == top).all():
+                    break
+                top = new
+            return top
 
         def settle():
             """Residents against each other."""
             weight, _, close = among(x, x, copies, copies, True)
-            parent = list(range(len(ids)))
-            a, b = [], []
-            for i in np.flatnonzero(close.any(axis=1)):
-                for j in np.flatnonzero(close[i, :i]):
-                    s, t = root(parent, i), root(parent, j)
-                    if s != t:
-                        parent[max(s, t)] = min(s, t)
-                        a.append(ids[i])
-                        b.append(ids[j])
-                        if len(a) >= len(ids) - 1:
-                            break
-            some = np.flatnonzero(weight)
-            return parent, [sent(ids[some], weight[some]), forest(a, b)]
-
-        def visited(parent, rows):
+            top = tops(close)
+            some, tied = np.flatnonzero(weight), np.flatnonzero(top != np.arange(len(top)))
+            return top, [sent(ids[some], weight[some]), forest(ids[tied], ids[top[tied]])]
+
+        def visited(top, rows):
             y, other, n = rows
             weight, back, close = among(x, y, copies, n, False)
-            a, b = [], []
-            for j in np.flatnonzero(close.any(axis=0)):
-                tops = {root(parent, i): i for i in np.flatnonzero(close[:, j])}
-                for i in tops.values():
-                    a.append(other[j])
-                    b.append(ids[i])
+            j, i = np.nonzero(close.T)
+            both = np.unique(j * len(ids) + top[i])  # each visitor with each of the block's groups that it meets
             some, more = np.flatnonzero(weight), np.flatnonzero(back)
-            return [sent(np.r_[ids[some], other[more]], np.r_[weight[some], back[more]]), forest(a, b)]
+            return [sent(np.r_[ids[some], other[more]], np.r_[weight[some], back[more]]), forest(other[both // len(ids)], ids[both % len(ids)])]
 
         parent = None
 
@@ -202,7 +198,9 @@ def similar_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_i
     n_links counts the other rows linked directly, component_id is the smallest vec_id
     reachable, kept says whether that is the row's own. Null and zero vectors and those with
     null or non-finite components link with nothing; shorter vectors count as ending in
-    zeros. A null vec_id takes no part and gets no links and a null component_id.
+    zeros. A null vec_id takes no part and gets no links and a null component_id. Rows that
+    repeat a vec_id are vectors of their own; equal ones link with each other. Other columns
+    of any name are left out, and an empty table stays empty.
     """
     spark = vectors.sparkSession
     folder = work_dir(spark)
@@ -210,13 +208,13 @@ def similar_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_i
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).cast(kind).alias("embedding"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("embedding", lambda v: v != 0)
     rows = rows.withColumn("usable", F.coalesce(F.col("vec_id").isNotNull() & finite, F.lit(False)))
-    classes = rows.where("usable").groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = written(classes, folder, "classes")
+    classes = rows.where("usable").groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), folder, "classes")  # one vec_id may name several vectors
     size = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("width")).first()
     if not size.n:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     many = min(PIVOTS, max(1, math.isqrt(size.n) // 8))
-    chosen = classes.orderBy(F.xxhash64("rep"), "rep").limit(many).select(F.col("embedding").cast("array<double>").alias("e")).collect()  # at most PIVOTS
+    chosen = classes.orderBy(F.xxhash64("least"), "least", "embedding").limit(many).select(F.col("embedding").cast("array<double>").alias("e")).collect()  # at most PIVOTS
     pivots = np.zeros((len(chosen), size.width))
     for i, row in enumerate(chosen):
         pivots[i, : len(row.e)] = row.e
@@ -232,7 +230,9 @@ def similar_vectors(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_i
     counts = links.where("other is null").groupBy("rep").agg(F.sum("weight").alias("weight"))
     labels = connected_components(links.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")), folder)
     info = classes.join(counts, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    info = info.select("embedding", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("comp"))
+    info = info.select("embedding", "least", "component", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("links"))
+    names = info.where("component is not null").groupBy("component").agg(F.min("least").alias("comp"))
+    info = info.join(names, "component", "left").select("embedding", "links", F.coalesce("comp", "least").alias("comp"))
     alone = rows.where("not usable").select("vec_id", F.lit(0).cast("bigint").alias("links"), F.col("vec_id").alias("comp"))
     out = rows.where("usable").select("vec_id", "embedding").join(info, "embedding").select("vec_id", "links", "comp").unionByName(alone)
     return out.select("vec_id", F.col("links").alias("n_links"), F.col("comp").alias("component_id"), F.coalesce(F.col("vec_id") == F.col("comp"), F.lit(False)).alias("kept"))

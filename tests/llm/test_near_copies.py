@@ -279,3 +279,10 @@ def test_passages_by_words(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     rows = window_dedup.without_repeats(df.withColumn("passages", F.lit(1)), passage=n).select("doc_id", window_dedup.covered("passages").alias("n")).collect()
     assert {r.doc_id: r.n for r in rows} == want and sum(x > 0 for x in want.values()) > 20
+
+
+def test_vectors_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [0.99, 0.1]), (4, [0.1, 0.99]), (4, [0.1, 0.99]), (9, [-1.0, 0.0])]
+    got = vector_join.similar_vectors(spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<double>, rep string")).collect()
+    want = [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 2, 1), (4, 2, 1), (9, 0, 9)]
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want

@@ -1,8 +1,10 @@
 """Tokens, packing, files, languages, mixing, secrets, quality, the pipeline."""
 
 import hashlib
+import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -22,7 +24,6 @@ def plain_ids(name, text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_file(name))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -309,3 +310,80 @@ def test_empty_tables(empty):
     assert langid.language_digest(empty).count() == 0
     assert mixing.mixed_digest(empty).count() == 0
     assert secret_scan.secrets_digest(empty).count() == 0
+
+
+def test_language_equals_plain_naive_bayes(spark, monkeypatch):
+    """Predictions and posteriors against counts in plain Python, with texts cut into stretches."""
+    rnd = random.Random(31)
+    words = {"en": "the of and law court state".split(), "fr": "le de la été loi état".split(), "es": "el ñu los ley".split()}
+    rows = [(i, lang := rnd.choice(list(words)), " ".join(rnd.choices(words[lang], k=rnd.randint(0, 30))), i % 3 == 0) for i in range(60)]
+    rows += [(100, None, "the law", False), (101, "fr", None, False), (102, "fr", "", False), (103, "en", "x" * 500, False), (104, "es", "12 3", True), (105, "en", "ŁÓDŹ 中文", True)]
+
+    def grams(text):
+        codes, out = [ord(c) for c in f" {text.lower()} "], []
+        for i in range(len(codes)):
+            m = 0
+            for n in (1, 2, 3):
+                if i + n > len(codes):
+                    break
+                m = (m * 0x01000193 + codes[i + n - 1] + n) % 2**32
+                h = m * 0x9E3779B1 % 2**32
+                out.append((h ^ h >> 15) * 0x85EBCA6B % 2**32 >> 16)
+        return out
+
+    counts, docs = defaultdict(Counter), Counter()
+    for _, lang, text, held in rows:
+        if lang and text is not None and not held:
+            counts[lang].update(grams(text))
+            docs[lang] += 1
+    langs = sorted(counts)
+    size = {x: sum(counts[x].values()) + langid.SMOOTHING * langid.BUCKETS for x in langs}
+    monkeypatch.setattr(langid, "GROUP_CHARS", 37)
+    df = spark.createDataFrame(rows, "doc_id bigint, lang string, text string, held boolean")
+    model = langid.train(df.where("not held").select("lang", "text"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, model).collect()}
+    for i, _, text, _ in rows:
+        if text is None or not re.search(r"[^\W\d_]", text):
+            assert got[i] == ("und", 0.0)
+            continue
+        log = {x: math.log(docs[x] / sum(docs.values())) + sum(math.log((counts[x][g] + langid.SMOOTHING) / size[x]) for g in grams(text)) for x in langs}
+        best = max(langs, key=lambda x: log[x])
+        assert got[i][0] == best and abs(got[i][1] - 1 / sum(math.exp(v - log[best]) for v in log.values())) < 1e-3
+
+
+def test_mixing_of_equal_rows(spark):
+    """A prefix that ends among equal rows takes as many as fit; rows without an id are told apart by their texts."""
+    rows = [(1, "one two three", "A")] * 1000 + [(None, "one two three", "B")] * 1000 + [(None, f"w{i} x y", "C") for i in range(300)] + [(5, None, "C"), (None, "", "A")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    want = mixing.targets([("A", 3000), ("B", 3000), ("C", 900)])
+    for s, target in want.items():
+        taken = sum(r.taken for r in got if r.source == s)
+        assert abs(taken - target) <= 3 and all(r.taken <= 3 * r.size for r in got)
+    assert Counter((r.source, r.text, r.taken) for r in mixing.mix(docs).collect()) == Counter((r.source, r.text, r.taken) for r in got)
+
+
+def test_decoding_is_bounded_by_ids():
+    """Very many documents of one id beside a long block: what is held follows the ids."""
+    n = np.array([1] * 200_000 + [512, 0, 300])
+    codes, by_id = token_files.code_book(np.array([0, 1, 2]), np.array([1, 2, 2]))
+    ids = np.random.default_rng(5).integers(0, 3, int(n.sum())).astype(np.uint32)
+    payloads = token_files.encoded(np.split(ids, np.cumsum(n)[:-1]), codes, by_id)
+    start = np.cumsum([0, *(len(p) for p, _ in payloads)])
+    at = np.concatenate([o[:1] + 8 * s if len(o) else [0] for (_, o), s in zip(payloads, start)])
+    tracemalloc.start()
+    out = token_files.decoded(b"".join(p for p, _ in payloads), at.astype(np.int64), n, token_files.decode_table(codes, by_id))
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (out == ids).all() and held < 100 * len(ids)
+
+
+def test_token_files_of_empty_texts(spark):
+    """Texts without ids and rows without a doc_id, among several parts and segments."""
+    rows = [(i if i % 3 else None, None if i % 2 else "") for i in range(3000)] + [(7, "a <|endoftext|> b")]
+    got = token_files.ids_digest(spark.createDataFrame(rows, "doc_id bigint, text string"), public_file(FILES[0])).collect()
+    assert len(got) == len(rows) and sorted(r.start for r in got)[:1000] == list(range(1000))
+    assert all(r.doc_id is None for r in got if r.start < 1000) and sum(r.n_tokens for r in got) == 3000 + 1 + len(plain_ids(FILES[0], "a <|endoftext|> b"))
+    ids = [r.doc_id for r in sorted(got, key=lambda r: r.start)][1000:]
+    assert ids == sorted(ids)
