@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.work import work_dir, written
+
 
 def _best(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """One row a key. A maximum of a struct is combined before the shuffle, so a hot key costs a row a task."""
@@ -146,8 +148,6 @@ def terms_in(texts: DataFrame, terms: DataFrame, doc: str, text: str, term: str)
 
 def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
     """H-08: nodes by the number of steps from the start, breadth first, each once, until a step finds no new node."""
-    from lexmill.llm._common import work_dir, written
-
     folder, depth = work_dir(edges.sparkSession), 0
     seen = last = written(start.select("node").distinct().withColumn("depth", F.lit(0)), folder, "0")
     while not last.isEmpty():
@@ -156,3 +156,8 @@ def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
         last = written(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)), folder, str(depth))
         seen = seen.unionByName(last)
     return seen
+
+
+def placed(df: DataFrame, by: Sequence[str], *order: Column | str) -> DataFrame:
+    """O-04: df with place, the number of each row within its group."""
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
