@@ -7,7 +7,10 @@ to a secret, an endpoint next to both. The join of the intervals runs inside eac
 the few parts of one document, so no document's parts leave their row and nothing shuffles.
 
 Positions come from the lengths of the pieces between matches: split and regexp_extract_all
-both go through the text by the leftmost match that does not overlap the one before.
+both go through the text by the leftmost match that does not overlap the one before. Matches
+are placed in blocks of BLOCK, after the blocks' own places are known, and a part looks for
+others only in the blocks that reach into its scope, so a long text with very many matches
+takes little more than its share of the time.
 """
 
 from __future__ import annotations
@@ -15,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SCOPE = 200
+#: Characters between linked parts, matches of a block.
+SCOPE, BLOCK = 200, 256
 #: Fixed patterns: (kind, a cheap test, pattern, least characters, the group they are counted in).
 BASE = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]""", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2),
@@ -38,18 +42,41 @@ def found(text: Column, kind: str, test: str, pattern: str, least: int, group: i
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     steps = F.zip_with(F.split(text, pattern, -1), F.arrays_zip(whole.alias("w"), part.alias("p")), lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["w"]).alias("n"), m["p"].alias("p")))
     keep = lambda s: (F.length(s["p"]) >= least) & ((s["p"].rlike("[0-9]") & s["p"].rlike("[A-Z]") & s["p"].rlike("[a-z]")) if kind == "key" else F.lit(True))
-    start = F.struct(F.lit(0).alias("at"), F.expr(NONE).alias("out"))
 
     def add(acc: Column, s: Column) -> Column:
         at = acc["at"] + s["gap"]
         span = F.struct(at.alias("start"), F.lit(k).alias("kind"), (at + s["n"]).alias("stop"))
         return F.struct((at + F.coalesce(s["n"], F.lit(0))).alias("at"), F.when(s["n"].isNotNull() & keep(s), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    return F.when(text.rlike(test), F.aggregate(steps, start, add, lambda acc: acc["out"])).otherwise(F.expr(NONE))
+    def placed(blocks: Column) -> Column:
+        size = lambda b: F.aggregate(b, F.lit(0), lambda a, s: a + s["gap"] + F.coalesce(s["n"], F.lit(0)))
+        first = F.aggregate(blocks, F.array(F.lit(0)), lambda a, b: F.concat(a, F.array(F.get(a, F.size(a) - 1) + size(b))))
+        inside = lambda b, at: F.aggregate(b, F.struct(at.alias("at"), F.expr(NONE).alias("out")), add, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, F.slice(first, F.lit(1), F.size(blocks)), inside))
 
+    return F.when(text.rlike(test), let(let(steps, cut), placed)).otherwise(F.expr(NONE))
 
-def near(a: Column, b: Column) -> Column:
-    return (b["start"] < a["stop"] + SCOPE) & (b["stop"] > a["start"] - SCOPE)
+
+def let(value: Column, use) -> Column:  # noqa: ANN001
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def cut(values: Column) -> Column:
+    """Blocks of the array, of BLOCK each; none of an empty one."""
+    some = F.transform(F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), F.lit(BLOCK)), lambda i: F.slice(values, i + 1, F.lit(BLOCK)))
+    return F.filter(some, lambda b: F.size(b) > 0)
+
+
+def reaching(parts: Column, others: Column, scope: int, wanted: bool = True) -> Column:
+    """The parts that have one of the others within so many characters, or those that have none; others by start."""
+
+    def meets(a: Column, b: Column) -> Column:
+        return (b["start"] < a["stop"] + scope) & (b["stop"] > a["start"] - scope)
+
+    blocks = lambda o: F.transform(cut(o), lambda b: F.struct(b.alias("spans"), F.get(b, F.lit(0))["start"].alias("start"), F.array_max(F.transform(b, lambda s: s["stop"])).alias("stop")))
+    found = lambda k, a: F.exists(k, lambda b: meets(a, b) & F.exists(b["spans"], lambda s: meets(a, s)))
+    return let(let(others, blocks), lambda k: F.filter(parts, lambda a: found(k, a) == F.lit(wanted)))
 
 
 def joined(spans: Column) -> Column:
@@ -61,7 +88,8 @@ def joined(spans: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with base and spans: arrays of struct(start, kind, stop), kind by place in KINDS, by start, then kind.
 
-    A null text counts as empty and has no spans. Columns of these names are replaced.
+    A null text counts as empty and has no spans; rows that repeat, or have no id, have the
+    same spans each. Columns of these names are replaced.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.drop("base", "spans", "t__").withColumn("t__", t)
@@ -72,13 +100,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.withColumn("id__", weak["id__"])
     linked = some | (F.size("id__") > 0)
     rows = rows.withColumns({c: F.when(linked, weak[c]).otherwise(F.expr(NONE)) for c in ("key__", "endpoint__")})
-    clear = lambda parts: F.filter(parts, lambda a: ~F.exists("base", lambda b: (b["start"] < a["stop"]) & (b["stop"] > a["start"])))
-    rows = rows.withColumns({c: clear(F.col(c)) for c in ("id__", "key__", "endpoint__")})
-    ids = F.concat("access__", "id__")
-    secrets = F.concat("assign__", "hex__", "key__")
-    keys = F.filter("key__", lambda a: F.exists(ids, lambda b: near(a, b)))
-    known = F.filter("id__", lambda a: F.exists(secrets, lambda b: near(a, b)))
-    ends = F.filter("endpoint__", lambda a: F.exists(ids, lambda b: near(a, b)) & F.exists(secrets, lambda b: near(a, b)))
+    rows = rows.withColumns({c: reaching(F.col(c), F.col("base"), 0, False) for c in ("id__", "key__", "endpoint__")})
+    ids = F.array_sort(F.concat("access__", "id__"))
+    secrets = F.array_sort(F.concat("assign__", "hex__", "key__"))
+    keys = reaching(F.col("key__"), ids, SCOPE)
+    known = reaching(F.col("id__"), secrets, SCOPE)
+    ends = reaching(reaching(F.col("endpoint__"), ids, SCOPE), secrets, SCOPE)
     rows = rows.withColumn("spans", F.when(linked, F.array_sort(F.concat("base", known, keys, ends))).otherwise(F.col("base")))
     return rows.drop("t__", *[f"{k}__" for k in KINDS])
 

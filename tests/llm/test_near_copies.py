@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.llm import line_dedup, ngram_join, vector_join, window_dedup
+from lexmill.llm import edits, line_dedup, ngram_join, vector_join, window_dedup
 from lexmill.llm._common import work_dir
 from lexmill.llm.components import connected_components
 from lexmill.llm.shingles import shingle_sets
@@ -244,21 +244,26 @@ def test_lines_of_odd_characters():
     assert len(line_dedup.Lines([]).n) == 0
 
 
-def test_middles_keep_the_distance(spark):
+def test_edits_of_many_pairs(duck, monkeypatch):
+    """Decisions against the whole table of edits, at every threshold around the distance; and grams never rule out a pair within it."""
     rnd = random.Random(6)
-    words = ["ab", "b", "abc", "", "c"]
-    pairs = []
-    while len(pairs) < 300:
-        a = [rnd.choice(words) for _ in range(rnd.randint(1, 7))]
+    pairs = [("", ""), ("", "ab"), ("abc", ""), ("a" * 50, "a" * 44), ("ab" * 40, "ba" * 40), ("x" + "é😀" * 20, "é😀" * 20)]
+    for _ in range(400):
+        a = rnd.choices("ab c" if rnd.random() < 0.5 else string.ascii_lowercase, k=rnd.randint(0, 120))
         b = list(a)
-        for _ in range(rnd.randint(1, 3)):
-            b[rnd.randrange(len(b)) : rnd.randrange(len(b)) + 1] = [rnd.choice(words) for _ in range(rnd.randint(0, 2))] or ["x"]
-        if " ".join(a) != " ".join(b):
-            pairs.append((" ".join(a), " ".join(b)))
-    df = spark.createDataFrame(pairs, "x string, y string")
-    cut = line_dedup._middles(df, "x", "y")
-    assert cut.where(F.levenshtein("x", "y") != F.levenshtein("a_mid", "b_mid")).collect() == []
-    assert cut.where(F.length("a_mid") < F.length("x")).count() > 100
+        for _ in range(rnd.choice([0, 1, 2, 5, 12, 30])):
+            at = rnd.randint(0, len(b))
+            b[at : at + rnd.randint(0, 2)] = rnd.choices("abxy", k=rnd.randint(0, 2))
+        pairs.append(("".join(a), "".join(b)))
+    duck.execute("CREATE OR REPLACE TEMP TABLE edited AS SELECT unnest(?) AS a, unnest(?) AS b", [[p[0] for p in pairs], [p[1] for p in pairs]])
+    want = np.array([r[0] for r in duck.sql("SELECT levenshtein(a, b) FROM edited").fetchall()])
+    text = edits.Buffer([t for p in pairs for t in p])
+    a = 2 * np.arange(len(pairs))
+    monkeypatch.setattr(edits, "CELLS", 3000)
+    for off in (-3, -1, 0, 1, 7):
+        most = np.maximum(want + off, 0)
+        assert (edits.within(text, a, a + 1, most) == (want <= most)).all()
+    assert not line_dedup._unlike(text, a, a + 1, want).any()
 
 
 def test_passages_by_words(spark):
