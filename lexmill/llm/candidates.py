@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm._common import released, written
@@ -30,10 +30,10 @@ def _side(shared: DataFrame, side: str, *more: str) -> DataFrame:
     return shared.select(*more, F.col("cls").alias(f"{side}_cls"), F.col("comp").alias(f"{side}_comp"), *[F.col(c).alias(f"{side}_{c}") for c in shared.columns if c not in OWN])
 
 
-def _ordered(pairs: DataFrame, close: Callable[[str, str], Column] | None) -> DataFrame:
+def _ordered(pairs: DataFrame, close) -> DataFrame:  # noqa: ANN001
     pairs = pairs.where("x_comp <> y_comp")
     if close is not None:
-        pairs = pairs.where(close("x", "y"))
+        pairs = close(pairs)
     return pairs.select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b")).distinct()
 
 
@@ -53,11 +53,11 @@ def _mixed(shared: DataFrame) -> DataFrame:
     return shared.join(main.select("token", F.col("main.comp").alias("main"), (F.col("all") * (F.col("all") - F.col("main.k"))).alias("work")), "token")
 
 
-def linked_components(shared: DataFrame, verify: Callable[[DataFrame, int], DataFrame], folder: str, close: Callable[[str, str], Column] | None = None, first: DataFrame | None = None) -> DataFrame:
+def linked_components(shared: DataFrame, verify: Callable[[DataFrame, int], DataFrame], folder: str, close: Callable[[DataFrame], DataFrame] | None = None, first: DataFrame | None = None) -> DataFrame:
     """(cls, comp) of the classes that have a link; shared: written rows (token, cls, …), each once.
 
-    verify takes pairs (a, b), a < b, and the round, and returns those linked; close("x", "y")
-    may rule a pair out before that by the other columns of shared, which are x_… and y_….
+    verify takes pairs (a, b), a < b, and the round, and returns those linked; close may rule
+    pairs out before that by the other columns of shared, which are x_… and y_….
     first: likely pairs (a, b) in place of the first round of anchors.
     """
     edges, labels = None, None
