@@ -135,3 +135,8 @@ def filled(template: Column, article: Column, section: Column, state: Column) ->
 def natural_key(c: Column) -> Column:
     """O-01: digit runs padded, so that 940.9 sorts before 940.10; mixed ids compare as text."""
     return F.transform(F.regexp_extract_all(c, F.lit(r"\d+|\D+"), F.lit(0)), lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, 12, "0")).otherwise(p))
+
+
+def integer_key(c: Column) -> Column:
+    """O-04: integers stored as text sort as numbers, all else last."""
+    return F.coalesce(c.try_cast("bigint"), F.lit((1 << 63) - 1))

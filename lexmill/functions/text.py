@@ -51,6 +51,11 @@ def stripped_html(c: Column) -> Column:
     return collapse(unescape(F.regexp_replace(c, "<[^>]+>", " ")))
 
 
+def inline_text(c: Column) -> Column:
+    """X-12: the text of an element and all below it, tags as nothing, white space collapsed."""
+    return collapse(unescape(F.regexp_replace(c, "<[^>]+>", "")))
+
+
 def html_paragraphs(c: Column) -> Column:
     """X-07: the texts of p, li and blockquote elements in order, empty ones left out."""
     inner = extract_all(c, r"(?is)<(?:p|li|blockquote)\b[^>]*>(.*?)</(?:p|li|blockquote)>", 1)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions import ids
+
 #: Fixed tiers of fields.
 REQUIRED = ("text", "act_id", "category", "document_type", "jurisdiction", "country_code", "state", "chunk_index", "total_chunks")
 EXPECTED = ("section_number", "section_title", "citation", "citation_short", "display_label", "display_title", "display_path", "breadcrumb", "title", "title_name", "top_level_title", "act_status", "level_classifier", "word_count", "full_text_sha1", "raw_node_id", "r2_section_text_url")
@@ -68,3 +70,17 @@ def audit(fields: Column) -> Column:
         required.alias("missing_required"), F.array_sort(F.array_except(names(EXPECTED), keys)).alias("missing_expected"), unknown.alias("unknown"),
         F.array_sort(F.array_intersect(keys, names(DEPRECATED))).alias("deprecated"), ((F.size(required) == 0) & (F.size(unknown) == 0)).alias("ok"),
     )
+
+
+def of_node(node_id: Column, state: Column, number: Column, heading: Column) -> Column:
+    """P-03: the fields of a record that follow from its node."""
+    return F.struct(
+        ids.act_id(node_id, state).alias("act_id"), ids.section_number(node_id, number).alias("section_number"), ids.title_number(node_id).alias("title_number"), ids.level(node_id)["classifier"].alias("level_classifier"),
+        heading.alias("section_title"), F.get(F.split(node_id, "/"), F.lit(0)).alias("country_code"),
+    )
+
+
+def with_rights(records: DataFrame, rights: str, country: str) -> DataFrame:
+    """G-09: records with the rights that hold for their corpus, where they have none of their own."""
+    own = lambda c: F.col(c) if c in records.columns else F.lit(None).cast("string")
+    return records.withColumns({c: F.coalesce(own(c), F.lit(v)) for c, v in (("snapshot_license", rights), ("country_code", country))})

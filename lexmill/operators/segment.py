@@ -34,6 +34,28 @@ def two_levels(df: DataFrame, text: str, article: str, section: str) -> DataFram
     return rows.select(*keep, "apos", F.col("a.header").alias("article"), F.posexplode("parts").alias("pos", "s")).select(*keep, "apos", "article", "pos", F.col("s.header").alias("section"), F.col("s.body").alias("body"))
 
 
+def stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"\A\s+|\s+\z", "")
+
+
+def levels(df: DataFrame, text: str, **headers: str) -> DataFrame:
+    """T-04: (…, a column and a place for each level, body): any number of levels, outermost first.
+
+    Text before the first header of the first level is left out; what has no header of a
+    lower level is part 0 of it.
+    """
+    keep = [c for c in df.columns if c != text]
+    rows, outer = df.withColumn("body", F.col(text)), True
+    for name, header in headers.items():
+        parts = segments(F.col("body"), header)
+        if not outer:
+            parts = F.when(F.size(parts) > 0, parts).otherwise(F.array(F.struct(F.lit("0").alias("header"), F.col("body").alias("body"))))
+        rows = rows.select(*keep, F.posexplode(parts).alias(f"{name}_pos", "s"))
+        rows = rows.withColumns({name: stripped(F.col("s.header")), "body": stripped(F.col("s.body"))}).drop("s")
+        keep, outer = [*keep, f"{name}_pos", name], False
+    return rows
+
+
 def div_blocks(html: Column, kind: str) -> Column:
     """T-02: array<struct<id, body>> of divs of a class, each up to the next."""
     header = rf'(?i)<div[^>]*class="{kind}"[^>]*>'

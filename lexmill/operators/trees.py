@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import collapse, extract, first_present
+from lexmill.functions.text import collapse, extract, first_present, inline_text, present
+from lexmill.work import work_dir, written
 
 
 def law_leaves(laws: DataFrame, law: str, tree: str) -> DataFrame:
@@ -96,3 +97,49 @@ def enclosing(sections: DataFrame, parts: DataFrame, doc: str, at: str) -> DataF
     joined = sections.join(parts, doc, "left").where(F.col("lo").isNull() | ((F.col("lo") <= F.col(at)) & (F.col(at) < F.col("hi"))))
     found = joined.groupBy(doc, at).agg(F.max(F.struct("lo", "part")).alias("p")).select(doc, at, F.col("p.part").alias("part"))
     return sections.join(found, [doc, at], "left")
+
+
+def element(xml: Column, name: str) -> Column:
+    """The text of the first element of a name, null if there is none or it is empty."""
+    return present(inline_text(F.regexp_extract(xml, rf"(?s)<{name}\b[^>]*>(.*?)</{name}>", 1)))
+
+
+def elements(xml: Column, name: str) -> Column:
+    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{name}\b[^>]*>.*?</{name}>"), F.lit(0))
+
+
+def granules(docs: DataFrame, key: str, xml: str) -> DataFrame:
+    """S-14: (key, granule, title, class) of the related items of a metadata document."""
+    rows = docs.select(key, F.explode(elements(F.col(xml), "relatedItem")).alias("x"))
+    name = F.coalesce(element(F.col("x"), "accessId"), F.regexp_replace(F.regexp_extract("x", 'ID="([^"]*)"', 1), "^id-", ""))
+    return rows.select(key, name.alias("granule"), element(F.col("x"), "title").alias("title"), element(F.col("x"), "granuleClass").alias("class"))
+
+
+def inherited(docs: DataFrame, key: str, xml: str, outer: str, name: str, inner: str, number: str, body: str) -> DataFrame:
+    """S-15 and S-18: (key, context, number, body) of inner elements, with the name of the outer element that holds them, null outside of any."""
+    x = F.col(xml)
+    blocks = F.transform(elements(x, outer), lambda o: F.struct(element(o, name).alias("context"), o.alias("x")))
+    rest = F.array(F.struct(F.lit(None).cast("string").alias("context"), F.regexp_replace(x, rf"(?s)<{outer}\b[^>]*>.*?</{outer}>", "").alias("x")))
+    rows = docs.select(key, F.explode(F.concat(blocks, rest)).alias("o")).select(key, "o.context", F.explode(elements(F.col("o.x"), inner)).alias("x"))
+    return rows.select(key, "context", element(F.col("x"), number).alias("number"), element(F.col("x"), body).alias("body"))
+
+
+def section(xml: Column) -> Column:
+    """S-17: struct(number, heading, body); the body of a section without text is made of its heading and note."""
+    heading, note = element(xml, "heading"), element(xml, "annotations")
+    omitted = F.concat(F.lit("[Omitted] "), F.coalesce(heading, F.lit("")), F.lit(". "), F.coalesce(note, F.lit("")))
+    return F.struct(element(xml, "num").alias("number"), heading.alias("heading"), F.coalesce(element(xml, "text"), F.trim(omitted)).alias("body"))
+
+
+def flat(nodes: DataFrame, node: str, parent: str, label: str) -> DataFrame:
+    """T-19: (node, depth, line) of every node below a root (null parent), a line being the label after two blanks a level; level by level until none is left."""
+    folder, depth = work_dir(nodes.sparkSession), 0
+    slim = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(label).alias("label"))
+    level = written(slim.where("parent is null").select("node", "label", F.lit(0).alias("depth")), folder, "0")
+    out = level
+    while not level.isEmpty():
+        depth += 1
+        above = level.select(F.col("node").alias("parent"))
+        level = written(slim.join(above, "parent").select("node", "label", F.lit(depth).alias("depth")), folder, str(depth))
+        out = out.unionByName(level)
+    return out.select("node", "depth", F.concat(F.repeat(F.lit("  "), F.col("depth")), "label").alias("line"))

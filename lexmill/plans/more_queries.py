@@ -31,10 +31,18 @@ def _(d):
     return d.groupBy("document").agg(F.max(F.struct("page", "v")).alias("m")).select("document", F.col("m.v").alias("v"))
 
 
-@query("s31_text_fallback", PAGES, r"SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'raw ' || page_id ELSE trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) END AS t FROM base WHERE NOT contains(html, '&')")
+def _plain(html: str) -> str:
+    """SQL of a page without tags, its entities replaced one after another."""
+    out = f"regexp_replace({html}, '<[^>]+>', ' ', 'g')"
+    for entity, character in text.ENTITIES:
+        out = f"replace({out}, '{entity}', chr({ord(character)}))"
+    return rf"trim(regexp_replace({out}, '[\s\x0b\x{{85}}\p{{Z}}]+', ' ', 'g'))"
+
+
+@query("s31_text_fallback", PAGES, f"SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'raw ' || page_id ELSE {_plain('html')} END AS t FROM base")
 def _(d):
     raw = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("raw "), "page_id"))
-    return d.where(~F.contains("html", F.lit("&"))).select("page_id", F.coalesce(raw, text.stripped_html(F.col("html"))).alias("t"))
+    return d.select("page_id", F.coalesce(raw, text.stripped_html(F.col("html"))).alias("t"))
 
 
 @query("s32_titles_dimension", "SELECT n_nationkey, n_name, n_regionkey FROM {nation}", "SELECT n_nationkey AS number, n_name AS name FROM base WHERE n_regionkey <> 2")

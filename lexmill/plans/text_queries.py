@@ -81,12 +81,13 @@ def _(d):
     return d.select("s_suppkey", text.source_block(F.col("t")).alias("x")).select("s_suppkey", "x.body", "x.effective", F.array_join("x.registers", "|").alias("registers"))
 
 
-@query("x21_heading_and_body", DOCS)
+@query("x21_heading_and_body", DOCS, r", l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS p FROM base), s AS (SELECT doc_id, p, least(coalesce(list_min(list_filter(list_transform(p, lambda x, i: CASE WHEN regexp_matches(x, '^\([a-z0-9]+\)') THEN i - 1 WHEN suffix(x, '.') THEN i END), lambda v: v IS NOT NULL)), 1), 8, len(p)) AS n FROM l)"
+"\n--\n" "SELECT doc_id, array_to_string(p[1:n], ' ') AS heading, array_to_string(p[n + 1:], chr(10)) AS body FROM s")
 def _(d):
     return d.select("doc_id", text.heading_and_body(T()).alias("x")).select("doc_id", "x.heading", "x.body")
 
 
-@query("x22_heading_at_terminator", DOCS)
+@query("x22_heading_at_terminator", DOCS, r"SELECT doc_id, trim(left(text, cut), ' ') AS heading, trim(substr(text, cut + 1), ' ') AS body FROM (SELECT doc_id, text, CASE WHEN contains(left(text, 700), '.' || chr(10)) THEN position('.' || chr(10) IN text) + 1 ELSE coalesce(nullif(position('.' IN left(text, 200)), 0), least(length(text), 200)) END::INTEGER AS cut FROM base)")
 def _(d):
     return d.select("doc_id", text.heading_at_terminator(T(), r"\.\n").alias("x")).select("doc_id", "x.heading", "x.body")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions.cites import enriched
 from lexmill.functions.status import flipped
 from lexmill.operators.chunk import chunk_rows
-from lexmill.plans import more_queries, record_queries, relation_queries, text_queries  # noqa: F401
+from lexmill.plans import more_queries, record_queries, relation_queries, text_queries, unit_queries  # noqa: F401
 from lexmill.plans.recipe import ORACLE, QUERIES, relation
 
 

@@ -31,17 +31,27 @@ def overwrite_last(df: DataFrame, path: str, key: str, pos: str) -> None:
 
 
 def swap(df: DataFrame, path: str) -> None:
-    """K-08: write beside, then rename into place; readers see the old or the new version."""
+    """K-08: write beside, then rename into place; a rename that fails puts the old version back and raises.
+
+    Between the two renames, which touch no data, a reader finds no table and has to try again.
+    """
     spark = df.sparkSession
     jvm = spark._jvm.org.apache.hadoop.fs
-    new, old, at = (jvm.Path(p) for p in (f"{path}.new-{uuid.uuid4().hex}", f"{path}.old", path))
+    name = uuid.uuid4().hex
+    new, old, at = (jvm.Path(p) for p in (f"{path}.new-{name}", f"{path}.old-{name}", path))
     df.write.parquet(new.toString())
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if fs.exists(at):
-        fs.rename(at, old)
-    fs.rename(new, at)
-    fs.delete(old, True)
+    there = fs.exists(at)
+    if there and not fs.rename(at, old):
+        fs.delete(new, True)
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(new, at):
+        if there and not fs.rename(old, at):
+            raise OSError(f"cannot rename {new.toString()} to {path}; the old version is {old.toString()}")
+        fs.delete(new, True)
+        raise OSError(f"cannot rename into {path}; it is as it was")
+    if there:
+        fs.delete(old, True)
 
 
 def merge(spark: SparkSession, new: DataFrame, path: str, key: str) -> int:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import io
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,20 +45,58 @@ def ecfr_sections(parts: DataFrame) -> DataFrame:
     return rows.where(F.length("text") >= 10)
 
 
-def zip_members(spark: SparkSession, path: str, pattern: str = ".*") -> DataFrame:
-    """S-05, S-06, S-08 and S-09: (archive, member, kind, size, body) of every file of every archive; one archive a task at a time."""
+def opened(path: str):  # noqa: ANN201
+    """A seekable file of any store that Arrow reads, of which only what is asked for is read."""
+    from pyarrow import fs
+
+    store, at = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
+    return store.open_input_file(at)
+
+
+def zip_entries(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """S-07 and S-08: (archive, member, size, error) from the archives' directories alone; one row with an error for what is no archive."""
 
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for m in z.infolist():
-                        if not m.is_dir():
-                            yield pd.DataFrame({"archive": [archive], "member": [m.filename], "size": [m.file_size], "body": [z.read(m)]})
+            for archive in batch["path"]:
+                try:
+                    with opened(archive) as f, zipfile.ZipFile(f) as z:
+                        rows = [(archive, m.filename, m.file_size, None) for m in z.infolist() if not m.is_dir()]
+                except (zipfile.BadZipFile, OSError) as e:
+                    rows = [(archive, None, None, str(e))]
+                yield pd.DataFrame(rows, columns=["archive", "member", "size", "error"]).astype({"size": "Int64"})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    rows = files.mapInPandas(members, "archive string, member string, size bigint, body binary")
-    return rows.where(F.col("member").rlike(pattern)).withColumn("kind", file_kind(F.col("member")))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
+    return files.mapInPandas(entries, "archive string, member string, size bigint, error string")
+
+
+def zip_bodies(entries: DataFrame, share: int = 32) -> DataFrame:
+    """S-08 and S-09: entries with body, each member read by its own range; an archive's members are dealt over as many as `share` tasks."""
+
+    def bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for archive, own in batch.groupby("archive", sort=False):
+                out, errors = [None] * len(own), list(own["error"])
+                if own["member"].notna().any():
+                    try:
+                        with opened(archive) as f, zipfile.ZipFile(f) as z:
+                            for i, m in enumerate(own["member"]):
+                                try:
+                                    out[i] = z.read(m) if m is not None else None
+                                except (zipfile.BadZipFile, zlib.error, KeyError, NotImplementedError) as e:
+                                    errors[i] = str(e)
+                    except (zipfile.BadZipFile, OSError) as e:
+                        errors = [str(e)] * len(own)
+                yield own.assign(body=out, error=errors)
+
+    dealt = entries.withColumn("size", F.coalesce("size", F.lit(0))).repartition(F.col("archive"), F.pmod(F.xxhash64("member"), F.lit(share)))
+    return dealt.mapInPandas(bodies, "archive string, member string, size bigint, error string, body binary")
+
+
+def zip_members(spark: SparkSession, path: str, pattern: str = ".*") -> DataFrame:
+    """S-05, S-06, S-08 and S-09: (archive, member, size, error, body, kind) of every file of every archive; what cannot be read has an error and no body."""
+    wanted = zip_entries(spark, path).where(F.col("member").isNull() | F.col("member").rlike(pattern))
+    return zip_bodies(wanted).withColumn("kind", file_kind(F.col("member")))
 
 
 def member_counts(members: DataFrame) -> DataFrame:
@@ -104,22 +143,11 @@ def page_text(words: DataFrame, columns: int = 1, sep: str = "\n\n") -> DataFram
 
 
 def docx_text(spark: SparkSession, path: str) -> DataFrame:
-    """S-27 and S-29: (path, text) of word files: paragraphs, then table rows with cells joined by ` | `."""
-    files = zip_members_of(spark, path, "*.docx").where("member = 'word/document.xml'")
+    """S-27 and S-29: (path, text) of word files: paragraphs, then table rows with cells joined by ` | `; null where there is none to read."""
+    files = zip_bodies(zip_entries(spark, path, "*.docx").where("member = 'word/document.xml' or member is null"))
     return files.select(F.col("archive").alias("path"), docx_body(F.col("body")).alias("text"))
 
 
-def zip_members_of(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for m in z.infolist():
-                        yield pd.DataFrame({"archive": [archive], "member": [m.filename], "body": [z.read(m)]})
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content").mapInPandas(members, "archive string, member string, body binary")
-
-
 @F.pandas_udf(T.StringType())
 def docx_body(bodies: pd.Series) -> pd.Series:
     from xml.etree import ElementTree
@@ -129,8 +157,13 @@ def docx_body(bodies: pd.Series) -> pd.Series:
     def text(el) -> str:  # noqa: ANN001
         return "".join(t.text or "" if t.tag == w + "t" else "\t" for t in el.iter() if t.tag in (w + "t", w + "tab"))
 
-    def one(body: bytes) -> str:
-        top = ElementTree.fromstring(body).find(w + "body")
+    def one(body: bytes | None) -> str | None:
+        try:
+            top = ElementTree.fromstring(body).find(w + "body") if body is not None else None
+        except ElementTree.ParseError:
+            top = None
+        if top is None:
+            return None
         parts = [text(p).rstrip() for p in top.findall(w + "p")]
         for row in top.iter(w + "tr"):
             cells = [" ".join(text(p) for p in c.iter(w + "p")).strip() for c in row.findall(w + "tc")]

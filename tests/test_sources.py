@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import rows, segment
+from lexmill.operators import contents, rows, segment
 from lexmill.sinks import writers
 from lexmill.sources import markup, readers
 from lexmill.streaming import ingest
@@ -132,3 +132,46 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     query.awaitTermination()
     key = ["start", "event_type", "n"]
     assert spark.table("windows").select(*key).exceptAll(ingest.windowed_counts(events).select(*key)).isEmpty()
+
+
+def test_bad_rows_do_not_fail():
+    assert markup.rtf_text(r"a\'zzb \u-10179?\u-8704? {\*\x skip {y} z} \{q\} un" + "\r\nless") == "ab �� {q} unless"
+    assert markup.caml_text("<p>a & b") == ("a & b", []) and markup.caml_text("</p>x</td>")[0] == "x"
+    assert markup.register_text("") == "" and markup.rendered("<div>") is None
+    assert markup.html_text("<p>a<script>if (a<b) {'</p>'}</script>b<br/>c &amp; &eacute; <") == "ab\nc & é <"
+    assert markup.block_text("<ul><li>a<p>b</li><li>c</ul>") == "a b\nb\nc"
+
+
+def test_archives(spark, tmp_path):
+    """Members are listed from directories and read one by one; what is no archive, or not a whole one, has an error."""
+    with zipfile.ZipFile(tmp_path / "t.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(40):
+            z.writestr(f"m{i}.xml", f"<a>{i}</a>" * (i + 1))
+    (tmp_path / "bad.zip").write_bytes(b"no archive")
+    entries = readers.zip_entries(spark, str(tmp_path))
+    assert entries.where("error is null").count() == 40 and entries.where("member is null").count() == 1
+    rows = readers.zip_members(spark, str(tmp_path)).collect()
+    assert {r.member: bytes(r.body) for r in rows if r.member} == {f"m{i}.xml": f"<a>{i}</a>".encode() * (i + 1) for i in range(40)}
+    assert [r.error is None for r in rows if r.member is None] == [False]
+    assert readers.zip_members(spark, str(tmp_path), r"^m1\.").where("error is null").count() == 1
+    (tmp_path / "x.docx").write_bytes(b"no word file")
+    assert [r.text for r in readers.docx_text(spark, str(tmp_path)).collect()] == [None]
+
+
+def test_swap_replaces(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (1, 2):
+        writers.swap(spark.createDataFrame([(n,)], "n int"), path)
+        assert [r.n for r in spark.read.parquet(path).collect()] == [n]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t"]
+    with pytest.raises(OSError):
+        (tmp_path / "file").write_text("x")
+        writers.swap(spark.createDataFrame([(3,)], "n int"), str(tmp_path / "file" / "t"))
+
+
+def test_levels_and_contents(spark):
+    df = spark.createDataFrame([(1, "x\nARTICLE I\n1. a\n2. b\nARTICLE II\nc"), (2, None), (3, "")], "d int, t string")
+    got = segment.levels(df, "t", article=r"(?m)^ARTICLE [IVX]+$", section=r"(?m)^\d+\.").select("d", "article", "section", "body").collect()
+    assert sorted(map(tuple, got)) == [(1, "ARTICLE I", "1.", "a"), (1, "ARTICLE I", "2.", "b"), (1, "ARTICLE II", "0", "c")]
+    none = contents.versions(df, F.col("d").cast("string"), "t", "NOWHERE").select("id", "body").collect()
+    assert ("1", "x\nARTICLE I\n1. a\n2. b\nARTICLE II\nc") in {tuple(r) for r in none}
