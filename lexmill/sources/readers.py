@@ -62,7 +62,7 @@ def zip_entries(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFram
                 try:
                     with opened(archive) as f, zipfile.ZipFile(f) as z:
                         rows = [(archive, m.filename, m.file_size, None) for m in z.infolist() if not m.is_dir()]
-                except (zipfile.BadZipFile, OSError) as e:
+                except (zipfile.BadZipFile, OSError, ValueError) as e:
                     rows = [(archive, None, None, str(e))]
                 yield pd.DataFrame(rows, columns=["archive", "member", "size", "error"]).astype({"size": "Int64"})
 
@@ -85,7 +85,7 @@ def zip_bodies(entries: DataFrame, share: int = 32) -> DataFrame:
                                     out[i] = z.read(m) if m is not None else None
                                 except (zipfile.BadZipFile, zlib.error, KeyError, NotImplementedError) as e:
                                     errors[i] = str(e)
-                    except (zipfile.BadZipFile, OSError) as e:
+                    except (zipfile.BadZipFile, OSError, ValueError) as e:
                         errors = [str(e)] * len(own)
                 yield own.assign(body=out, error=errors)
 
