@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from lexmill.llm._common import removed, work_dir, written
+from lexmill.llm._common import released, removed, work_dir, written
 from lexmill.llm.shingles import _BASE, _BYTE, _INVERSE, grouped, mixed, powers, word_hashes
 
 #: Threshold in bytes, bytes hashed at a time, documents named in a broadcast at most.
@@ -260,11 +260,13 @@ def span_table(docs: DataFrame, window: int = WINDOW, text: str = "text", words:
         ranges = ranges.select("key__", F.ceil(F.col("lo") / WORD_BYTES).alias("lo"), F.floor(F.col("hi") / WORD_BYTES).alias("hi"))
     by = Window.partitionBy("key__").orderBy("lo")
     before = F.max("hi").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    rows = ranges.distinct().withColumn("new", F.coalesce((F.col("lo") > before).cast("int"), F.lit(1)))
+    rows = ranges.withColumn("new", F.coalesce((F.col("lo") > before).cast("int"), F.lit(1)))
     rows = rows.withColumn("island", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     rows = rows.groupBy("key__", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     rows = rows.groupBy(F.col("key__").alias("k2__")).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
-    return written(rows, work_dir(docs.sparkSession), "spans")
+    out = written(rows, work_dir(docs.sparkSession), "spans")
+    released(docs.sparkSession)
+    return out
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
