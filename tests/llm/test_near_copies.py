@@ -291,3 +291,43 @@ def test_vectors_that_share_an_id(spark):
     got = vector_join.similar_vectors(spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<double>, rep string")).collect()
     want = [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 2, 1), (4, 2, 1), (9, 0, 9)]
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want
+
+
+def test_lines_with_a_phrase_at_other_places_are_not_brought_together(spark):
+    """A phrase that edits have spared lies at about the same place of both lines: elsewhere it makes no pair, and no token stays."""
+    rnd = random.Random(29)
+    phrase = "notwithstanding any other provision of this chapter"
+    lines = []
+    for i in range(24):
+        own = "".join(rnd.choices(string.ascii_lowercase, k=250))
+        lines.append(own[: 10 * i] + phrase + own[10 * i :])
+    docs = spark.createDataFrame([(str(i), line) for i, line in enumerate([*lines, lines[3][:100] + "z" + lines[3][100:]])], "k string, text string")
+    crowd = spark.sparkContext.broadcast(np.zeros(line_dedup.COUNTERS, np.uint8))
+    brought = line_dedup.company(line_dedup.token_table(docs.coalesce(1), crowd, 3), 3)
+    found = {frozenset((r["cls"], r["other"])) for r in brought.collect() if r["other"] is not None}
+    name = line_dedup.Lines(["\n".join([*lines, lines[3][:100] + "z" + lines[3][100:]])]).name.tolist()
+    assert brought.where("token is not null").isEmpty()
+    assert frozenset((name[3], name[24])) in found
+    assert len(found) <= 40  # neighbours by place only, of 300 pairs that share the phrase
+
+
+@pytest.mark.parametrize("looked, near", [(64, 8), (2, 1), (1, 100)])
+def test_lines_of_one_phrase_by_pairs_or_by_components(spark, duck, monkeypatch, looked, near):
+    """Bounds of pairs a token decide how lines are compared, not which are removed."""
+    monkeypatch.setattr(line_dedup, "LOOKED", looked)
+    monkeypatch.setattr(line_dedup, "NEAR", near)
+    rnd = random.Random(30)
+    own = ["".join(rnd.choices(string.ascii_lowercase + " ", k=60)) for _ in range(4)]
+    lines = []
+    for i in range(60):
+        line = list(own[i % 4])
+        for at in rnd.sample(range(60), rnd.randint(1, 4)):
+            line[at] = rnd.choice(string.ascii_lowercase)
+        lines.append("".join(line))
+    links = [(a, b) for a, b in similar_lines(duck, lines)]
+    top = components(lines, links)
+    first = {}
+    for line in lines:
+        first.setdefault(top[line], line)
+    got = removed(spark, list(enumerate(lines)))
+    assert [got[i][1] for i in range(60)] == [int(first[top[line]] != line) for line in lines]
