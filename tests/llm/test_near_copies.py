@@ -311,7 +311,7 @@ def test_lines_with_a_phrase_at_other_places_are_not_brought_together(spark):
     assert len(found) <= 40  # neighbours by place only, of 300 pairs that share the phrase
 
 
-@pytest.mark.parametrize("looked, near", [(64, 8), (2, 1), (1, 100)])
+@pytest.mark.parametrize("looked, near", [(256, 8), (2, 1), (1, 100)])
 def test_lines_of_one_phrase_by_pairs_or_by_components(spark, duck, monkeypatch, looked, near):
     """Bounds of pairs a token decide how lines are compared, not which are removed."""
     monkeypatch.setattr(line_dedup, "LOOKED", looked)
