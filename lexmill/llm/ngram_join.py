@@ -11,8 +11,12 @@ makes no family. A third order, by hash, is the last filter before whole sets ar
 Documents of equal sets are one class. A family's sets are shipped once, in blocks of bounded
 size; pairs are counted inside a block and only a spanning forest of the links leaves it.
 Large families have anchors in every block; after that only members outside the family's main
-component visit the other blocks. No link between different sets is lost, no pairs are
-emitted, and no family is ever gathered in one place.
+component visit the other blocks. The more documents, the more of them are chained by tokens
+that a few share by chance, and to hold a chain against itself costs the square of its size.
+The members of a family beyond one block therefore meet by token where a token has up to HOT
+classes (candidates.py; counters of the sets rule pairs out, then whole sets are compared), and
+only its tokens of more classes make families, smaller ones, that are compared in blocks. No
+link between different sets is lost, and no family is ever gathered in one place.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm._common import work_dir, written
+from lexmill.llm.candidates import linked_components
 from lexmill.llm.components import connected_components
 from lexmill.llm.sketch import CHUNKS, COUNTERS, chunks, counted, crowding
 from lexmill.llm.shingles import grouped, mixed, set_id, shingle_sets
@@ -32,6 +37,9 @@ FEW = 500_000
 MORE = 10
 #: Tokens and classes of a block, and visitors compared with it at a time.
 BLOCK_TOKENS, BLOCK_SETS, VISITORS = 400_000, 800, 200
+#: Classes of a token up to which a large family's members meet by token, and counters of 8 bits, in longs, that rule pairs out then.
+HOT, COUNTS = 64, 64
+BAGS = tuple(f"b{i}" for i in range(COUNTS // 8))
 
 
 def least_shared(n: int) -> int:
@@ -253,11 +261,15 @@ def linked(placed: DataFrame, percent: int) -> DataFrame:
     return placed.repartition("family", "block").sortWithinPartitions("family", "block", F.desc("resident")).mapInArrow(run, "a bigint, b bigint")
 
 
-def class_components(sets: DataFrame, percent: int, folder: str) -> DataFrame:
-    """(cls, comp) of the classes that have a link; sets: written (cls, family, tokens)."""
+def block_counts(sets: DataFrame) -> DataFrame:
+    """(family, blocks, low, high): the blocks that a family takes, and its smallest and largest class."""
     size = F.octet_length("tokens") / 8
-    blocks = sets.groupBy("family").agg(F.ceil(F.greatest(F.sum(size) / BLOCK_TOKENS, F.count(F.lit(1)) / BLOCK_SETS)).cast("int").alias("blocks"), F.min("cls").alias("low"), F.max("cls").alias("high"))
-    blocks = written(blocks, folder, "blocks")
+    return sets.groupBy("family").agg(F.ceil(F.greatest(F.sum(size) / BLOCK_TOKENS, F.count(F.lit(1)) / BLOCK_SETS)).cast("int").alias("blocks"), F.min("cls").alias("low"), F.max("cls").alias("high"))
+
+
+def block_components(sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """(cls, comp) of the classes that have a link to one of their family; sets: (cls, family, tokens)."""
+    blocks = written(block_counts(sets), folder, "blocks")
     homed = sets.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     none = F.lit(None).cast("bigint")
     own = homed.select("family", "block", F.lit(True).alias("resident"), "cls", none.alias("comp"), "tokens")
@@ -280,6 +292,77 @@ def class_components(sets: DataFrame, percent: int, folder: str) -> DataFrame:
     return connected_components(edges.unionByName(more), folder, "cc-2").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
 
 
+def set_counts(sets: DataFrame) -> DataFrame:
+    """(cls, n, bags): the size of each set, and how many of its tokens fall on each counter, modulo 256."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            each = [np.frombuffer(t, np.uint64) for t in batch.column(1).to_pylist()]
+            n = np.array([len(s) for s in each], np.int32)
+            slot = (mixed(np.concatenate(each), 33) % np.uint64(COUNTS)).astype(np.int64) + np.repeat(np.arange(len(each)) * COUNTS, n)
+            bags = (np.bincount(slot, minlength=len(each) * COUNTS) & 255).astype(np.uint8).reshape(-1, COUNTS).view("<i8")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *(pa.array(np.ascontiguousarray(bags[:, k])) for k in range(len(BAGS)))], names=["cls", "n", *BAGS])
+
+    return sets.select("cls", "tokens").mapInArrow(run, "cls bigint, n int, " + ", ".join(f"{b} bigint" for b in BAGS))
+
+
+def alike(pairs: DataFrame, percent: int) -> DataFrame:
+    """(x_cls, y_cls) of the pairs of rows x_… and y_… that sizes and counters leave a chance.
+
+    Of similar sets of n and m tokens at most (n + m) (1 - t) / (1 + t) tokens are of one of them
+    alone, and each of these moves one counter by one; counters modulo 256 can only hide that.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            x, y = (np.stack([batch.column(k).to_numpy() for k in range(lo, lo + len(BAGS))], axis=1).view(np.int8) for lo in (3, 3 + len(BAGS)))
+            apart = np.abs((x - y).astype(np.int16)).sum(axis=1)
+            keep = pa.array((100 + percent) * apart <= (100 - percent) * batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], names=["x_cls", "y_cls"])
+
+    near = pairs.where(100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+    return near.select("x_cls", "y_cls", (F.col("x_n") + F.col("y_n")).alias("n"), *[f"{s}_{b}" for s in "xy" for b in BAGS]).mapInArrow(run, "x_cls bigint, y_cls bigint")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in (b.slice(lo, VISITORS) for b in batches for lo in range(0, b.num_rows, VISITORS)):
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
+
+    sided = lambda s: sets.select(F.col("cls").alias(s), F.col("tokens").alias(f"{s}_tokens"))
+    return pairs.join(sided("a"), "a").join(sided("b"), "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(run, "a bigint, b bigint")
+
+
+def class_components(sets: DataFrame, prefix: DataFrame, percent: int, folder: str) -> DataFrame:
+    """(cls, comp) of the classes that have a link; sets: written (cls, family, tokens), prefix: written (token, cls)."""
+    large = written(block_counts(sets).where("blocks > 1").select("family"), folder, "large")
+    if large.isEmpty():
+        return block_components(sets, percent, folder)
+    own = sets.join(large, "family", "left_semi").select("cls", "tokens")
+    counted_ = prefix.join(set_counts(own), "cls").join(prefix.groupBy("token").agg(F.count(F.lit(1)).alias("k")), "token")
+    shared = written(counted_, f"{folder}/large-families", "shared")
+    hot = families(shared.where(F.col("k") > HOT).select("token", "cls"), f"{folder}/large-families")
+    there = sets.join(large, "family", "left_anti").unionByName(own.join(hot, "cls").select("cls", "family", "tokens"))
+    met = linked_components(shared.where(F.col("k") <= HOT).drop("k"), lambda pairs, _: _verified(pairs, own, percent), f"{folder}/large-families", lambda pairs: alike(pairs, percent))
+    edges = block_components(there, percent, folder).unionByName(met).select(F.col("cls").alias("a"), F.col("comp").alias("b"))
+    return connected_components(edges, folder, "cc").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+
+
 def similar_classes(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, cls) of every document, and (cls, component_id) of the classes that are not a document alone."""
     spark = docs.sparkSession
@@ -289,12 +372,13 @@ def similar_classes(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     rows = named.where("kind = 0").select("doc_id", "n", "cls")
     order = spark.sparkContext.broadcast(crowding(named.where("kind = 1").select(F.col("doc_id").alias("chunk"), "counters")))  # COUNTERS bytes
     shared = written(shared_tokens(prefixes(docs, order, words, percent, text)), folder, "tokens")
-    family = families(written(second_prefixes(shared, folder), folder, "prefixes"), folder)
+    second = written(second_prefixes(shared, folder), folder, "prefixes")
+    family = families(second, folder)
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes, folder, "classes")
     wanted = classes.join(family, "cls").select("doc_id", "cls", "family")
     sets = written(whole_sets(docs, written(wanted, folder, "wanted"), words, text), folder, "sets", "uncompressed")
-    labels = class_components(sets, percent, folder)
+    labels = class_components(sets, second, percent, folder)
     named_by = classes.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = named_by.join(labels.select("comp").distinct(), "comp", "left_semi").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     linked = named_by.join(smallest, "comp", "left").where("component_id is not null or copies > 1")

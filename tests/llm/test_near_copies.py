@@ -65,6 +65,40 @@ def test_ngram_join_large_family(spark, monkeypatch):
     assert len(got) == 180 and {r.doc_id: r.component_id for r in got} == want
 
 
+def test_ngram_join_chained_family(spark, monkeypatch):
+    """Documents that each share a passage with the next are one family; what is compared follows their number, not its square, and links stay."""
+    rnd = random.Random(2)
+    parts = [" ".join(f"p{i}w{rnd.randint(0, 10**6)}" for _ in range(60)) for i in range(121)]
+    rows = [(i, f"{parts[i]} {parts[i + 1]}") for i in range(120)]
+    rows += [(200 + i, f"{rows[i][1]} more") for i in range(0, 120, 10)]
+    seen, linked = [], ngram_join.linked
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 20)
+    monkeypatch.setattr(ngram_join, "HOT", 8)
+    monkeypatch.setattr(ngram_join, "linked", lambda placed, percent: seen.append(placed.count()) or linked(placed, percent))
+    sets = {i: shingles(t) for i, t in rows}
+    got = ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == components(sets, similar(sets))
+    assert sum(seen) <= len(rows)
+
+
+def test_ngram_join_hot_and_rare_tokens(spark, monkeypatch):
+    """One family by tokens of many documents and by tokens of a few: both ways together lose no link."""
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for at in rnd.sample(range(150), rnd.choice([1, 2, 3, 6])):
+            words[at] = f"e{i % 40}x{at}"
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 20)
+    monkeypatch.setattr(ngram_join, "VISITORS", 7)
+    monkeypatch.setattr(ngram_join, "HOT", 3)
+    sets = {i: shingles(t) for i, t in rows}
+    got = ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == components(sets, similar(sets))
+
+
 def test_empty_tables(empty, spark):
     assert ngram_join.similar_documents(empty).count() == 0
     assert line_dedup.without_repeated_lines(empty).count() == 0
