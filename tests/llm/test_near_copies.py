@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm import edits, line_dedup, ngram_join, vector_join, window_dedup
 from lexmill.llm._common import work_dir
+from lexmill.llm.candidates import linked_components
 from lexmill.llm.components import connected_components
 from lexmill.llm.shingles import shingle_sets
 from lexmill.llm.sketch import COUNTERS
@@ -115,6 +116,19 @@ def test_components(spark):
     assert {r.node: r.component for r in got} == components(nodes, links)
 
 
+def test_rounds_that_link_nothing_are_not_repeated(spark):
+    """One token of 300 classes, of which no two are linked but the last ones asked for: one round of anchors that changes nothing is enough, and all pairs follow."""
+    shared, turns = spark.range(300).selectExpr("7L as token", "id as cls"), []
+
+    def verify(pairs, turn):
+        turns.append((turn, pairs.count()))
+        return pairs.where("a = 150 and b = 151")
+
+    got = linked_components(shared, verify, work_dir(spark)).collect()
+    assert {tuple(r) for r in got} == {(150, 150), (151, 150)}
+    assert [turn for turn, _ in turns] == [0, 1, 2] and turns[-1][1] == 300 * 299 // 2
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_vectors(spark, monkeypatch, kind):
     rng = np.random.default_rng(4)
