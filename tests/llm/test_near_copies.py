@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lexmill.llm import components as connected_module
 from lexmill.llm import edits, line_dedup, ngram_join, vector_join, window_dedup
 from lexmill.llm._common import work_dir
 from lexmill.llm.candidates import linked_components
@@ -379,3 +380,18 @@ def test_lines_of_one_phrase_by_pairs_or_by_components(spark, duck, monkeypatch,
         first.setdefault(top[line], line)
     got = removed(spark, list(enumerate(lines)))
     assert [got[i][1] for i in range(60)] == [int(first[top[line]] != line) for line in lines]
+
+
+@pytest.mark.parametrize("few", [0, 60, 10_000])
+def test_components_with_few_edges_take_few_tables(spark, monkeypatch, few):
+    """By contraction, by one task, and by one after the other: the same components; one task writes two tables, whatever the chains' length."""
+    rnd = random.Random(31)
+    path = rnd.sample(range(-500, 500), 300)
+    edges = list(itertools.pairwise(path)) + [(1000 + rnd.randint(0, 99), 1000 + rnd.randint(0, 99)) for _ in range(60)] + [(None, 5), (9, 9)]
+    names, kept = [], connected_module.written
+    monkeypatch.setattr(connected_module, "FEW_EDGES", few)
+    monkeypatch.setattr(connected_module, "written", lambda df, folder, name: names.append(name) or kept(df, folder, name))
+    got = connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), work_dir(spark)).collect()
+    links = [(a, b) for a, b in edges if a is not None and a != b]
+    assert {r.node: r.component for r in got} == components({x for e in links for x in e}, links) and len(got) == len({r.node for r in got})
+    assert few < 10_000 or names == ["cc-edges-0", "cc-label-1"]
