@@ -395,3 +395,28 @@ def test_components_with_few_edges_take_few_tables(spark, monkeypatch, few):
     links = [(a, b) for a, b in edges if a is not None and a != b]
     assert {r.node: r.component for r in got} == components({x for e in links for x in e}, links) and len(got) == len({r.node for r in got})
     assert few < 10_000 or names == ["cc-edges-0", "cc-label-1"]
+
+
+def test_bags_rule_chance_meetings_out_and_no_similar_pair(spark):
+    """Lines of one phrase at one place and of other letters make no pair where tokens meet; of similar lines the bags always allow it."""
+    rnd = random.Random(33)
+    phrase = "this chapter shall "
+    lines = [phrase + "".join(rnd.choices(string.ascii_lowercase, k=41)) for _ in range(12)]
+    lines.append(lines[5][:30] + "x" + lines[5][31:])
+    docs = spark.createDataFrame([(str(i), line) for i, line in enumerate(lines)], "k string, text string")
+    crowd = spark.sparkContext.broadcast(np.zeros(line_dedup.COUNTERS, np.uint8))
+    brought = line_dedup.company(line_dedup.token_table(docs.coalesce(1), crowd, 3), 3).collect()
+    name = line_dedup.Lines(["\n".join(lines)]).name.tolist()
+    assert {frozenset((r["cls"], r["other"])) for r in brought} == {frozenset((name[5], name[12]))}
+
+    texts = []
+    for _ in range(500):
+        own = rnd.choices("ab cdeé" if rnd.random() < 0.5 else string.ascii_lowercase, k=rnd.randint(10, 400))
+        other = list(own)
+        for _ in range(len(own) // 10):
+            at = rnd.randrange(len(other))
+            other[at : at + rnd.randint(0, 1)] = rnd.choices("zab", k=rnd.randint(0, 1))
+        texts += sorted(("x" + "".join(own), "x" + "".join(other)), key=len)
+    some = line_dedup.Lines(["\n".join(texts)])
+    i = 2 * np.arange(500)
+    assert line_dedup.bags_allow(some.bags(), some.n, i, i + 1).all()
