@@ -194,8 +194,8 @@ def write_ids(docs: DataFrame, file: str, end_id: int = 0, folder: str | None =
         codes, lengths = shared.value
         turn = 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                own = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, 100):
+                own = batch.slice(lo, 100)
                 ids = [np.frombuffer(x, f"<u{w}") for x, w in zip(own.column(1).to_pylist(), own.column(2).to_pylist())]
                 got = encoded(ids, codes, lengths)
                 doc_id = own.column(0)

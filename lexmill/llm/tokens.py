@@ -19,6 +19,8 @@ import numpy as np
 CACHE_WORDS, CACHE_CHARS, GROUP_CHARS = 900_000, 64, 6_000_000
 #: Characters beyond ASCII without U+001C to U+001F and the Latin-1 letters.
 OTHER = re.compile("[^\x00-\x1b -~\xc0-\xd6\xd8-\xf6\xf8-\xff]")
+#: The ones of them in ASCII.
+CONTROLS = "\x1c\x1d\x1e\x1f\x7f"
 #: Classes of bytes: blank 0, letter 1 (with all bytes of Latin-1 letters), digit 2, other 3, apostrophe 4.
 CLASS = np.full(256, 3, np.uint8)
 CLASS[[32, *range(9, 14)]] = 0
@@ -32,20 +34,20 @@ _encoders: dict[str, "Encoder"] = {}
 class Encoder:
     def __init__(self, file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(file)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]  # found anywhere in a text
         self.lower = "Lowercase" in str(self.tokenizer.normalizer)
-        # Many words are encoded as one text: byte-level files give the line ends between them an id
-        # of their own, the others mark the last id of a word.
-        self.ends = None
+        # Byte-level files never split letters and the blank before them, so words need not go through
+        # the pattern that splits; the others mark the last id of a word, and many are encoded as one text.
         if self.lower:
             vocab = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         else:
-            (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+            self.unsplit = Tokenizer.from_file(file)
+            self.unsplit.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -56,18 +58,15 @@ class Encoder:
         """The ids of words of letters, with at most one blank before each."""
         if not words:
             return []
-        (got,) = self.tokenizer.encode_batch_fast([(" " if self.lower else "\n").join(words)], add_special_tokens=False)
+        if not self.lower:
+            return [array("I", e.ids).tobytes() for e in self.unsplit.encode_batch_fast(words, add_special_tokens=False)]
+        (got,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
         ids = np.array(got.ids, "<u4")
         data = ids.tobytes()
-        if self.lower:
-            stop = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            start = [0, *stop[:-1]]
-        else:
-            at = 4 * np.flatnonzero(ids == self.line_end)
-            start, stop = [0, *(at + 4).tolist()], [*at.tolist(), len(data)]
+        stop = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
         if len(stop) != len(words):
             return self.whole(words)
-        return [data[a:b] for a, b in zip(start, stop)]
+        return [data[a:b] for a, b in zip([0, *stop[:-1]], stop)]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
@@ -77,7 +76,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if OTHER.search(text) or any(t in text for t in self.added):
+            if (any(c in text for c in CONTROLS) if text.isascii() else OTHER.search(text)) or any(t in text for t in self.added):
                 out[i] = self.whole([text])[0]
                 continue
             group.append(i)
@@ -97,7 +96,7 @@ class Encoder:
         if self.lower:
             data = data.lower()
         first = np.cumsum([0, *map(len, each)])
-        kind = CLASS[np.frombuffer(data, np.uint8)]
+        kind = np.frombuffer(data.translate(CLASS.tobytes()), np.uint8)
         cut = np.zeros(len(data), bool)
         before, now = kind[:-1], kind[1:]
         np.logical_and((now != before) & (before != 0), (now == 0) | ((now != 4) & (before != 4)), out=cut[1:])
@@ -106,7 +105,7 @@ class Encoder:
         offsets = np.append(start, len(data)).astype(np.int32)
         parts = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
         index = parts.indices.to_numpy()
-        values = self.values(parts.dictionary.to_pylist())
+        values = self.values(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
         size = np.fromiter(map(len, values), np.int64, len(values)) // 4
         flat, base = np.frombuffer(b"".join(values), "<u4"), np.cumsum(size) - size
         n = size[index]
@@ -130,8 +129,8 @@ class Encoder:
                 fresh.append(i)
             else:
                 mixed.append(i)
-        for lo in range(0, len(fresh), 5000):
-            self.keep(fresh[lo : lo + 5000], self.words([words[i] for i in fresh[lo : lo + 5000]]), words, out)
+        for lo in range(0, len(fresh), 500):
+            self.keep(fresh[lo : lo + 500], self.words([words[i] for i in fresh[lo : lo + 500]]), words, out)
         self.keep(mixed, self.whole([words[i] for i in mixed]), words, out)
         if len(known) > CACHE_WORDS:
             self.known, self.older = {}, known

@@ -38,6 +38,23 @@ def test_encoder_equals_the_library(name, corpus):
     assert np.frombuffer(e(["Some words, here."])[0], "<u4").tolist() == plain_ids(name, "Some words, here.")
 
 
+def test_words_of_a_byte_level_file_skip_the_pattern():
+    from lexmill.llm.tokens import Encoder
+
+    words = ["Law", " court", " naïve", "ÉCOLE", " x", "a" * 70, " thonre"]
+    e = Encoder(public_file(FILES[0]))
+    want = e.whole(words)
+    e.tokenizer = None  # the pattern is its
+    assert e.words(words) == want
+
+
+def test_control_characters_of_ascii_texts():
+    texts = ["".join(x) for c in "\x00\x1b\x1c\x1d\x1e\x1f\x7f" for x in (f"a{c}b", f"a {c} b", f"{c}{c}9a", f"it{c}'s", f"a\n{c}\n b")]
+    for name in FILES:
+        e = encoder(public_file(name))
+        assert e(texts) == e.whole(texts)
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_added_tokens_have_their_ids(spark, name):
     from tokenizers import Tokenizer
