@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import string
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -420,3 +421,37 @@ def test_bags_rule_chance_meetings_out_and_no_similar_pair(spark):
     some = line_dedup.Lines(["\n".join(texts)])
     i = 2 * np.arange(500)
     assert line_dedup.bags_allow(some.bags(), some.n, i, i + 1).all()
+
+
+@pytest.mark.parametrize("looked, near", [(256, 8), (3, 8), (256, 1)])
+def test_rows_of_one_token(monkeypatch, looked, near):
+    """Pairs of like rows by token; those of a token with too many are the next rows only, and its rows stay."""
+    monkeypatch.setattr(line_dedup, "LOOKED", looked)
+    monkeypatch.setattr(line_dedup, "NEAR", near)
+    rnd = np.random.default_rng(8)
+    token, n = rnd.integers(0, 40, 600), rnd.integers(20, 60, 600) * rnd.choice([1, 1, 1, -1], 600)
+    order = np.lexsort((n, token))
+    token, n, place, bag = token[order], n[order], rnd.integers(-1, 6, 600), rnd.integers(0, 3, 600).astype("<u8")
+    pairs, counts = defaultdict(list), Counter(token.tolist())
+    like = defaultdict(set)
+    for i, j in itertools.combinations(range(600), 2):
+        if token[i] == token[j] and n[i] > 0 and n[j] - n[i] <= n[j] // 10:
+            like[token[i]] |= {(i, j)}
+            before = place[i] - place[j]
+            apart = abs(before) + abs(n[i] - n[j] - before) <= n[j] // 10 or min(place[i], place[j]) < 0
+            if j - i <= looked and apart and sum(abs((int(bag[i]) >> s & 15) - (int(bag[j]) >> s & 15)) for s in range(0, 64, 4)) <= 2 * (n[j] // 10):
+                pairs[token[i]].append((i, j))
+    many = {t for t in counts if len(pairs[t]) > near * counts[t] or any(j - i > looked for i, j in like[t])}
+    i, j, stay = line_dedup.near_rows(token, n, place, bag)
+    assert sorted(zip(i.tolist(), j.tolist())) == sorted(p for t in pairs for p in pairs[t] if t not in many or p[1] == p[0] + 1)
+    assert set(np.flatnonzero(stay).tolist()) == {k for t in many for p in like[t] for k in p}
+
+
+def test_rows_of_a_token_of_very_many_lines_are_not_all_held():
+    rows = 20_000
+    tracemalloc.start()
+    i, j, stay = line_dedup.near_rows(np.zeros(rows, np.int64), np.full(rows, 50), np.zeros(rows, np.int64), np.zeros(rows, "<u8"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(i) == rows - 1 and (j == i + 1).all() and stay.all()
+    assert peak < 30e6  # all pairs looked at are 5 million, 16 bytes each
